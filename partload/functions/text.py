@@ -16,7 +16,9 @@ def norm_name(col: Column) -> Column:
 
 def split_list(col: Column, separator: str = ",") -> Column:
     """Separated text to an array of trimmed parts; blank parts are dropped, NULL gives []."""
-    parts = F.transform(F.split(F.coalesce(col, F.lit("")), F.lit(f"[{separator}]")), F.trim)
+    parts = F.transform(
+        F.split(F.coalesce(col, F.lit("")), F.lit(f"[{separator}]")), lambda p: F.trim(p)
+    )
     return F.filter(parts, lambda p: p != "")
 
 

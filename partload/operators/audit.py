@@ -15,6 +15,9 @@ from partload.sources import storage
 
 log = logging.getLogger(__name__)
 
+# Microseconds are kept; the default of JSON files is milliseconds.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 AUDIT_SCHEMA = (
     "run_id string, job_name string, processing_date string, source_schema string, "
     "source_table string, target_schema string, target_table string, source_row_count bigint, "
@@ -50,14 +53,14 @@ def file_sink(spark: SparkSession, path: str, file_format: str = "json") -> Sink
             return spark.createDataFrame([], AUDIT_SCHEMA)
         reader = spark.read.schema(AUDIT_SCHEMA)
         if file_format == "json":
-            reader = reader.option("mode", "DROPMALFORMED")
+            reader = reader.options(mode="DROPMALFORMED", **_JSON)
         return reader.format(file_format).load(path)
 
-    return Sink(
-        f"{file_format}:{path}",
-        lambda df: df.write.mode("append").format(file_format).save(path),
-        read,
-    )
+    def write(df: DataFrame) -> None:
+        options = _JSON if file_format == "json" else {}
+        df.write.mode("append").options(**options).format(file_format).save(path)
+
+    return Sink(f"{file_format}:{path}", write, read)
 
 
 def jdbc_sink(spark: SparkSession, source, table: str) -> Sink:

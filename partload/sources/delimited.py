@@ -94,11 +94,13 @@ def read_with_errors(
 
 
 def error_counts(read: DataFrame) -> DataFrame:
-    """(total_rows, bad_rows) of a `read_with_errors` result, in one pass."""
-    first = next(c for c in read.columns if c != CORRUPT)
-    touched = F.struct(F.col(first), F.col(CORRUPT))
+    """(total_rows, bad_rows) of a `read_with_errors` result, in one pass.
+
+    The total is counted through a data column, because a scan may not read the corrupt column alone.
+    """
+    first = F.col(next(c for c in read.columns if c != CORRUPT))
     return read.agg(
-        F.count(touched).alias("total_rows"),
+        (F.count_if(first.isNull()) + F.count_if(first.isNotNull())).alias("total_rows"),
         F.count_if(F.col(CORRUPT).isNotNull()).alias("bad_rows"),
     )
 
