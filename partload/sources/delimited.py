@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partload.functions.text import FIELD_DELIMITER, QUOTE
+from partload.functions.text import FIELD_DELIMITER, QUOTE, quote_line
 from partload.spec import ErrorLimit
 
 CORRUPT = "_corrupt_record"
@@ -80,17 +80,31 @@ def read_delimited(
 def read_with_errors(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType
 ) -> DataFrame:
-    """Rows with a `_corrupt_record` column holding the text of rows that do not fit the schema."""
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(full)
+    """Rows with a `_corrupt_record` column holding the text of rows that do not fit the schema.
+
+    Fields are read as text and cast here, not by the scan: a scan converts only the columns a
+    query selects, so bad fields of other columns would go unseen.
+    """
+    text = [T.StructField(f.name, T.StringType()) for f in schema.fields]
+    raw = (
+        spark.read.schema(T.StructType([*text, T.StructField(CORRUPT, T.StringType())]))
         .options(**read_options())
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        # Every field is parsed whatever the query selects, so that no bad field goes unseen.
+        # Whole rows are split into fields, so that a row with a field too few is noticed.
         .option("columnPruning", "false")
         .csv(paths if isinstance(paths, str) else list(paths))
     )
+    typed, misfit = [], F.lit(False)
+    for f in schema.fields:
+        field = F.col(f"`{f.name}`")
+        value = field if isinstance(f.dataType, T.StringType) else field.try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        if not isinstance(f.dataType, T.StringType):
+            misfit = misfit | (field.isNotNull() & value.isNull())
+    line = quote_line(*[F.col(f"`{f.name}`") for f in schema.fields])
+    corrupt = F.coalesce(F.col(CORRUPT), F.when(misfit, line))
+    return raw.select(*typed, corrupt.alias(CORRUPT))
 
 
 def error_counts(read: DataFrame) -> DataFrame:
