@@ -180,6 +180,9 @@ def load(
         order = [c for c in frame.columns if c not in (DATE_COLUMN, loading.ORDINAL, *dynamic)]
         return units.cap_rows(frame, [loading.ORDINAL, *dynamic], order, row_limit)
 
+    if wanted is not None and dynamic:
+        layout = loading.choose_layout(wanted, job.setting)
+        job = replace(job, setting=replace(job.setting, layout=layout))
     size = job.setting.values_per_batch
     if wanted is None or not dynamic or not size:
         def scope(frame):
@@ -406,10 +409,12 @@ def proof_load(
             units.first_units(plan(scratch, tables, processing_date), partition_limit), "units"
         )
         dynamic = scratch.target.dynamic_columns
-        some = {
-            t: _only_units(df, chosen.where(F.col("load_table") == t), dynamic)
-            for t, df in tables.items()
-        }
+        some = tables
+        if partition_limit > 0:
+            some = {
+                t: _only_units(df, chosen.where(F.col("load_table") == t), dynamic)
+                for t, df in tables.items()
+            }
         reported = load(scratch, some, processing_date, row_limit=row_limit).reported
         register(spark, scratch, processing_date, chosen)
         counted = target_frame(spark, scratch, tables).where(

@@ -79,7 +79,12 @@ class AuditLog:
         self.sinks = tuple(sinks)
 
     def record(self, rows: DataFrame) -> list[str]:
-        """Write rows to all sinks; returns the names of those that failed."""
+        """Write rows to all sinks; returns the names of those that failed.
+
+        Rows are stored once first, so that every sink gets the same run ids.
+        """
+        if len(self.sinks) > 1:
+            rows = storage.materialise(rows, "audit")
         failed = []
         for sink in self.sinks:
             try:
@@ -108,7 +113,7 @@ def already_succeeded(
     key: Sequence[str] = ("job_name", "processing_date"),
 ) -> DataFrame:
     """The candidates whose run has already succeeded."""
-    done = history.where(F.col("status") == SUCCESS).select(*key)
+    done = history.where(F.col("status") == SUCCESS).select(*key).distinct()
     return candidates.join(done, list(key), "left_semi")
 
 

@@ -54,6 +54,17 @@ def _share(df: DataFrame, shares: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(shares))
 
 
+def choose_layout(units: DataFrame, setting: RunSetting) -> str:
+    """Settle `auto` by a unit plan: the shuffle is saved where files come out large without it."""
+    if setting.layout != "auto":
+        return setting.layout
+    if setting.files_per_partition:
+        return "rebalance"
+    total = units.agg(F.sum("row_count").alias("rows"), F.sum("task_count").alias("files")).first()
+    large = (total.rows or 0) >= setting.min_rows_per_file * max(total.files or 0, 1)
+    return "asis" if large else "rebalance"
+
+
 def arrange(df: DataFrame, keys: Sequence[str], setting: RunSetting = RunSetting()) -> DataFrame:
     """Lay rows out before a partitioned write, so that V values and T tasks do not make V x T files.
 

@@ -108,8 +108,8 @@ def unify(
     """Resolve every column over all source tables, in the order and spelling of `columns`.
 
     Precedence: any decimal, else any date, else any timestamp, else all integer, else all char.
-    Other mixes raise, as does a column that no table has. With `strict` a column must be in
-    every table and text may not mix with decimal, date or timestamp.
+    Other mixes raise, as does a column some table does not have. With `strict` text may not mix
+    with decimal, date or timestamp.
     """
     fields: dict[str, list[tuple[str, T.StructField]]] = {}
     for table, schema in schemas.items():
@@ -117,11 +117,9 @@ def unify(
             fields.setdefault(f.name.strip().upper(), []).append((table, f))
     resolved = []
     for column in columns:
-        variants = fields.get(column.strip().upper())
-        if not variants:
-            raise ValueError(f"column {column} not found in {sorted(schemas)}")
+        variants = fields.get(column.strip().upper(), [])
         absent = sorted(set(schemas) - {t for t, _ in variants})
-        if strict and absent:
+        if absent:
             raise ValueError(f"column {column} not found in {absent}")
         families = {_family(f) for _, f in variants}
         kinds = [f.dataType for _, f in variants]
@@ -174,17 +172,14 @@ def conform(
 ) -> list[Column]:
     """Select list turning one source table into the resolved schema.
 
-    Names match without regard to case; a column the table does not have becomes NULL.
+    Names match without regard to case.
     """
     by_name = {f.name.strip().upper(): f for f in df.schema.fields}
     out = []
     for to in resolved:
-        f = by_name.get(to.name.strip().upper())
-        if f is None:
-            out.append(F.lit(None).cast(to.target_type).alias(to.name))
-        else:
-            value = cast_column(df[f"`{f.name}`"], f.dataType, to, empty_as_null)
-            out.append(value.alias(to.name))
+        f = by_name[to.name.strip().upper()]
+        value = cast_column(df[f"`{f.name}`"], f.dataType, to, empty_as_null)
+        out.append(value.alias(to.name))
     return out
 
 

@@ -12,9 +12,10 @@ DATE_COLUMN = "processing_date"
 FILE_FORMATS = ("text", "orc", "parquet")
 
 # How a load is laid out before it is written.
-#   rebalance  cluster rows by partition value; hot values are split by AQE
-#   asis       keep the input tasks; right when there are very few partition values
-LAYOUTS = ("rebalance", "asis")
+#   auto       asis if that makes files of at least min_rows_per_file rows, else rebalance
+#   rebalance  cluster rows by partition value in one shuffle; hot values are split by AQE
+#   asis       keep the input tasks, no shuffle; every task writes a file per value it meets
+LAYOUTS = ("auto", "rebalance", "asis")
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,8 @@ class RunSetting:
     files_per_partition: int | None = None
     max_records_per_file: int = 0
     values_per_batch: int | None = None
-    layout: str = "rebalance"
+    layout: str = "auto"
+    min_rows_per_file: int = 500_000
 
     def __post_init__(self):
         if self.layout not in LAYOUTS:
@@ -172,7 +174,8 @@ def job_from_dict(raw: Mapping, default_name: str = "", root: str = "") -> JobSp
             files_per_partition=setting.get("speed_channel") or setting.get("files_per_partition"),
             max_records_per_file=setting.get("max_records_per_file", 0),
             values_per_batch=setting.get("values_per_batch"),
-            layout=setting.get("layout", "rebalance"),
+            layout=setting.get("layout", "auto"),
+            min_rows_per_file=setting.get("min_rows_per_file", 500_000),
         ),
         retention_days=raw.get("retention_days"),
         enabled=raw.get("enabled", True),
