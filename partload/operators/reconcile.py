@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partload.operators.units import unit_counts
-from partload.sources.tables import restrict
 
 SUCCESS, MISMATCH, FAILED = "success", "dq_mismatch", "failed"
 
@@ -25,12 +24,20 @@ def partition_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def source_counts(
     tables: Mapping[str, DataFrame], dynamic: Sequence[str], units: DataFrame | None = None
 ) -> DataFrame:
-    """Rows per unit, kept to the partition values of `units`.
+    """Rows per unit; with `units`, rows per partition value found among them.
 
-    Counting comes first: the scope then filters one row per unit, not the source rows.
+    Rows are counted first and then stacked on the wanted values, one row each. A join would be
+    pushed below the count and move source rows.
     """
     counted = unit_counts(tables, dynamic)
-    return counted if units is None or not dynamic else restrict(counted, units, dynamic)
+    if units is None or not dynamic:
+        return counted
+    wanted = units.select(*dynamic, F.lit(0).cast("bigint").alias("row_count"), F.lit(True).alias("_wanted"))
+    stacked = counted.select(*dynamic, "row_count", F.lit(False).alias("_wanted")).unionByName(wanted)
+    summed = stacked.groupBy(*dynamic).agg(
+        F.sum("row_count").alias("row_count"), F.bool_or("_wanted").alias("_wanted")
+    )
+    return summed.where("_wanted").drop("_wanted")
 
 
 def verdict(source: DataFrame, target: DataFrame) -> DataFrame:
