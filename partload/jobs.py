@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 
 from partload.operators import loading, onboarding, reconcile, retention, units
 from partload.operators import schema as schemas
-from partload.operators.audit import AUDIT_COLUMNS, AUDIT_SCHEMA, AuditLog, audit_rows
+from partload.operators.audit import AUDIT_SCHEMA, AuditLog, audit_rows
 from partload.operators.state import WRITTEN, StateTable, pending_units, reused_units
-from partload.sources import catalog, storage
+from partload.sources import catalog, rows, storage
 from partload.sources.tables import read_load_tables, restrict
 from partload.spec import DATE_COLUMN, JobSpec, TargetSpec
 
@@ -244,21 +244,19 @@ def register(spark: SparkSession, job: JobSpec, processing_date: str, wanted: Da
 
 
 def _audit_row(spark: SparkSession, job: JobSpec, processing_date: str, **values) -> DataFrame:
-    row = dict.fromkeys(AUDIT_COLUMNS)
-    row.update(
-        run_id=str(uuid.uuid4()),
-        job_name=job.table_name,
-        processing_date=processing_date,
-        source_schema=job.source.owner,
-        source_table=",".join(job.source.load_tables),
-        target_schema=job.target.owner,
-        target_table=job.target.table,
-        loader=job.loader,
-        end_time=dt.datetime.now(),
-    )
-    row.update(values)
-    frame = spark.createDataFrame([tuple(row[c] for c in AUDIT_COLUMNS)], AUDIT_SCHEMA)
-    return audit_rows(frame)
+    row = {
+        "run_id": str(uuid.uuid4()),
+        "job_name": job.table_name,
+        "processing_date": processing_date,
+        "source_schema": job.source.owner,
+        "source_table": ",".join(job.source.load_tables),
+        "target_schema": job.target.owner,
+        "target_table": job.target.table,
+        "loader": job.loader,
+        "end_time": dt.datetime.now(),
+        **values,
+    }
+    return audit_rows(rows.one_row(spark, AUDIT_SCHEMA, row))
 
 
 def reconcile_job(
@@ -314,7 +312,7 @@ def run(
         todo, stored = every, 0
         if state is not None and force:
             state.clear(name, processing_date)
-        if state is not None and not force:
+        if state is not None and state.exists(name, processing_date):
             known = storage.materialise(state.latest(name, processing_date), "state")
             todo = storage.materialise(pending_units(every, known), "pending")
             stored = reused_units(every, known, todo).agg(
@@ -421,9 +419,14 @@ def proof_load(
         counted = target_frame(spark, scratch, tables).where(
             F.col(DATE_COLUMN) == processing_date
         ).count()
-        frame = spark.createDataFrame(
-            [(counted, reported, scratch.target.location)],
+        frame = rows.one_row(
+            spark,
             "target_count bigint, reported_count bigint, location string",
+            {
+                "target_count": counted,
+                "reported_count": reported,
+                "location": scratch.target.location,
+            },
         )
         passed = reconcile.proof_verdict(F.col("reported_count"), F.col("target_count"))
         return frame.select("target_count", "reported_count", passed.alias("passed"), "location")
@@ -479,8 +482,8 @@ def expire_all(
         row = summary.withColumn("job_name", F.lit(job.table_name))
         out = row if out is None else out.unionByName(row)
     if out is None:
-        return spark.createDataFrame(
-            [], "kept_count bigint, expired_count bigint, had_errors boolean, job_name string"
+        return rows.empty(
+            spark, "kept_count bigint, expired_count bigint, had_errors boolean, job_name string"
         )
     return out
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from partload.functions.times import seconds_between
 from partload.operators.reconcile import MISMATCH, SUCCESS
-from partload.sources import storage
+from partload.sources import rows, storage
 
 log = logging.getLogger(__name__)
 
@@ -50,7 +50,7 @@ def file_sink(spark: SparkSession, path: str, file_format: str = "json") -> Sink
 
     def read() -> DataFrame:
         if not storage.exists(spark, path):
-            return spark.createDataFrame([], AUDIT_SCHEMA)
+            return rows.empty(spark, AUDIT_SCHEMA)
         reader = spark.read.schema(AUDIT_SCHEMA)
         if file_format == "json":
             reader = reader.options(mode="DROPMALFORMED", **_JSON)
@@ -78,17 +78,17 @@ class AuditLog:
             raise ValueError("an audit log needs at least one sink that answers lookups")
         self.sinks = tuple(sinks)
 
-    def record(self, rows: DataFrame) -> list[str]:
+    def record(self, runs: DataFrame) -> list[str]:
         """Write rows to all sinks; returns the names of those that failed.
 
         Rows are stored once first, so that every sink gets the same run ids.
         """
         if len(self.sinks) > 1:
-            rows = storage.materialise(rows, "audit")
+            runs = storage.materialise(runs, "audit")
         failed = []
         for sink in self.sinks:
             try:
-                sink.write(rows)
+                sink.write(runs)
             except Exception as error:  # noqa: BLE001
                 log.error("audit sink %s failed: %s", sink.name, error)
                 failed.append(sink.name)

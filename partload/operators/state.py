@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from partload.functions.keys import escape_value
-from partload.sources import storage
+from partload.sources import rows, storage
 
 WRITTEN = "written"
 
@@ -87,12 +87,15 @@ class StateTable:
             F.lit(0).cast("bigint").alias("records_failed"),
         ).write.mode("append").json(self._dir(job_name, processing_date))
 
+    def exists(self, job_name: str, processing_date: str) -> bool:
+        return storage.exists(self.spark, self._dir(job_name, processing_date))
+
     def latest(self, job_name: str, processing_date: str) -> DataFrame:
         """Last state per unit of one job and date; unreadable lines are skipped."""
         path = self._dir(job_name, processing_date)
         schema = STATE_SCHEMA.split(", ", 2)[2]
-        if not storage.exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
+        if not self.exists(job_name, processing_date):
+            return rows.empty(self.spark, schema)
         events = self.spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
         return latest_state(events, ("unit_key",)).select(*events.columns)
 
@@ -104,7 +107,7 @@ class StateTable:
         except AnalysisException:
             if storage.exists(self.spark, self.path):
                 raise
-            return self.spark.createDataFrame([], STATE_SCHEMA)
+            return rows.empty(self.spark, STATE_SCHEMA)
 
     def clear(self, job_name: str, processing_date: str) -> int:
         return storage.delete_prefix(self.spark, self._dir(job_name, processing_date))

@@ -12,7 +12,7 @@ from partload.plans.inputs import ORDER_COLUMNS, order_tables, table
 def schema_resolve(spark, sf_dir):
     """Resolved type of every order column over two load tables that declare it differently."""
     metadata = schemas.column_metadata(order_tables(spark, sf_dir, mixed_types=True))
-    requested = metadata.select(F.lower("column_name").alias("column_name")).distinct()
+    requested = spark.createDataFrame([(c,) for c in ORDER_COLUMNS], "column_name string")
     return schemas.resolve_metadata(metadata, requested)
 
 
