@@ -200,7 +200,7 @@ def load(
         total += _write(job, some, resolved, processing_date, capped, False)
         if after_batch:
             schema = T.StructType([T.StructField(c, T.StringType()) for c in dynamic])
-            values = spark.createDataFrame([tuple(g[c] for c in dynamic) for g in group], schema)
+            values = rows.few_rows(spark, schema, [tuple(g[c] for c in dynamic) for g in group])
             after_batch(restrict(wanted, values, dynamic))
     return total
 
@@ -369,7 +369,7 @@ def run_all(
         except Exception as error:  # noqa: BLE001
             log.error("%s failed: %s", job.table_name, error)
             outcomes.append((job.table_name, reconcile.FAILED, str(error)[:2000]))
-    return spark.createDataFrame(outcomes, "job_name string, outcome string, error string")
+    return rows.few_rows(spark, "job_name string, outcome string, error string", outcomes)
 
 
 def proof_load(

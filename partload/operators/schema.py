@@ -268,48 +268,36 @@ def column_metadata(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _codes(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def resolve_metadata(metadata: DataFrame, requested: DataFrame) -> DataFrame:
     """Resolved type of each requested name over the tables of `metadata`.
 
     `requested` holds column_name. Result: column_name (as requested), resolved_type, needs_cast,
     max_length, table_count. A type set outside the precedence has resolved_type NULL.
     """
-    seen = metadata.groupBy(norm_name(F.col("column_name")).alias("_key")).agg(
-        F.collect_set(F.trim("column_type")).alias("_types"),
-        F.max("column_length").alias("max_length"),
-        F.countDistinct("table_name").alias("table_count"),
-    )
-    wanted = requested.select("column_name", norm_name(F.col("column_name")).alias("_key"))
-    types = F.col("_types")
+    code = F.trim("column_type")
+
+    def any_of(codes):
+        return F.bool_or(code.isin(*codes))
 
-    def only(codes):
-        return F.size(F.array_except(types, _codes(codes))) == 0
+    def all_of(codes):
+        return F.bool_and(code.isin(*codes))
 
+    length = F.greatest(F.coalesce(F.max("column_length"), F.lit(1)), F.lit(1))
     kind = (
-        F.when(F.arrays_overlap(types, _codes(DECIMAL_CODES)), "DOUBLE")
-        .when(F.arrays_overlap(types, _codes(DATE_CODES)), "VARCHAR(10)")
-        .when(F.arrays_overlap(types, _codes(TIMESTAMP_CODES)), "VARCHAR(26)")
-        .when(only(INTEGER_CODES), "BIGINT")
-        .when(
-            only(CHAR_CODES),
-            F.concat(
-                F.lit("VARCHAR("),
-                F.greatest(F.coalesce(F.col("max_length"), F.lit(1)), F.lit(1)).cast("string"),
-                F.lit(")"),
-            ),
-        )
+        F.when(any_of(DECIMAL_CODES), "DOUBLE")
+        .when(any_of(DATE_CODES), "VARCHAR(10)")
+        .when(any_of(TIMESTAMP_CODES), "VARCHAR(26)")
+        .when(all_of(INTEGER_CODES), "BIGINT")
+        .when(all_of(CHAR_CODES), F.concat(F.lit("VARCHAR("), length.cast("string"), F.lit(")")))
     )
-    return wanted.join(seen, "_key").select(
-        "column_name",
+    resolved = metadata.groupBy(norm_name(F.col("column_name")).alias("_key")).agg(
         kind.alias("resolved_type"),
-        (~(only(INTEGER_CODES) | only(("CV",)))).alias("needs_cast"),
-        "max_length",
-        "table_count",
+        (~(all_of(INTEGER_CODES) | all_of(("CV",)))).alias("needs_cast"),
+        F.max("column_length").alias("max_length"),
+        F.countDistinct("table_name").alias("table_count"),
     )
+    wanted = requested.select("column_name", norm_name(F.col("column_name")).alias("_key"))
+    return wanted.join(resolved, "_key").drop("_key")
 
 
 def missing_columns(metadata: DataFrame, requested: DataFrame) -> DataFrame:

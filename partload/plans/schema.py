@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from partload.operators import schema as schemas
 from partload.plans.inputs import ORDER_COLUMNS, order_tables, table
+from partload.sources import rows
 
 
 def schema_resolve(spark, sf_dir):
     """Resolved type of every order column over two load tables that declare it differently."""
     metadata = schemas.column_metadata(order_tables(spark, sf_dir, mixed_types=True))
-    requested = spark.createDataFrame([(c,) for c in ORDER_COLUMNS], "column_name string")
+    requested = rows.few_rows(spark, "column_name string", [(c,) for c in ORDER_COLUMNS])
     return schemas.resolve_metadata(metadata, requested)
 
 
@@ -21,10 +22,9 @@ def missing_columns(spark, sf_dir):
     tables = order_tables(spark, sf_dir, mixed_types=True)
     tables = {"lt1": tables["lt1"].drop("o_custkey"), "lt2": tables["lt2"]}
     metadata = schemas.column_metadata(tables).where(F.col("value_count") > 0)
-    asked = F.array(*[F.lit(c) for c in ("o_shipmode", " O_ORDERKEY", *ORDER_COLUMNS)])
-    requested = metadata.select("table_name").distinct().select(
-        "table_name", F.explode(asked).alias("column_name")
-    )
+    asked = ("o_shipmode", " O_ORDERKEY", *ORDER_COLUMNS)
+    pairs = [(t, c) for t in tables for c in asked]
+    requested = rows.few_rows(spark, "table_name string, column_name string", pairs)
     return schemas.missing_columns(metadata, requested)
 
 

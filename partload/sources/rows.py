@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,3 +26,17 @@ def one_row(
     return spark.range(0, 1, 1, 1).select(
         *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in fields]
     )
+
+
+def few_rows(
+    spark: SparkSession, schema: T.StructType | str, values: Sequence[Sequence[object]]
+) -> DataFrame:
+    """A handful of rows, such as column names or partition values of one batch."""
+    fields = _schema(schema).fields
+    if not values:
+        return empty(spark, schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, row)])
+        for row in values
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
