@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from partload.functions.keys import escape_value
 from partload.operators import loading, onboarding, reconcile, retention, units
 from partload.operators import schema as schemas
 from partload.operators.audit import AUDIT_SCHEMA, AuditLog, audit_rows
@@ -71,16 +72,16 @@ class LoadResult:
         )
 
 
-def _native_literal(text: str, data_type: T.DataType):
+def _native_literal(text: str, field: T.StructField):
     """A partition text as a literal of the source type, so that filters reach the scan.
 
-    Integer, text and date only: their texts and values match one to one. A text that is no such
-    value gives NULL, since a table of that type holds none. Other types give None.
+    Integer, unpadded text and date only: their texts and values match one to one. A text that is
+    no such value gives NULL, since a table of that type holds none. Other types give None.
     """
-    if isinstance(data_type, T.StringType):
+    if isinstance(field.dataType, T.StringType) and schemas.declared(field)[0] != "char":
         return F.lit(text)
-    if isinstance(data_type, (T.IntegralType, T.DateType)):
-        return F.lit(text).try_cast(data_type)
+    if isinstance(field.dataType, (T.IntegralType, T.DateType)):
+        return F.lit(text).try_cast(field.dataType)
     return None
 
 
@@ -92,9 +93,11 @@ def values_filter(df: DataFrame, scopes: Sequence[Mapping[str, str | None]]):
         f = by_name[column.strip().upper()]
         col = df[f"`{f.name}`"]
         if text is None:
-            empty = (col == "") if isinstance(f.dataType, T.StringType) else F.lit(False)
+            empty = (F.rtrim(col) == "") if schemas.declared(f)[0] == "char" else F.lit(False)
+            if isinstance(f.dataType, T.StringType):
+                empty = empty | (col == "")
             return col.isNull() | empty
-        native = _native_literal(text, f.dataType)
+        native = _native_literal(text, f)
         if native is None:
             return units.partition_values(df, [column])[0] == F.lit(text)
         return col == native
@@ -103,7 +106,7 @@ def values_filter(df: DataFrame, scopes: Sequence[Mapping[str, str | None]]):
     if one_column:
         (column,) = scopes[0]
         f = by_name[column.strip().upper()]
-        natives = [_native_literal(s[column], f.dataType) for s in scopes if s[column] is not None]
+        natives = [_native_literal(s[column], f) for s in scopes if s[column] is not None]
         if natives and all(n is not None for n in natives):
             found = df[f"`{f.name}`"].isin(natives)
             return found | test(column, None) if any(s[column] is None for s in scopes) else found
@@ -135,7 +138,8 @@ def _write(
     observed = arranged.observe(seen, F.count(F.lit(1)).alias("rows"), *per_table)
     payload = observed.drop(loading.ORDINAL)
     target, limit = job.target, job.setting.max_records_per_file
-    if replace_date:
+    if replace_date or not dynamic:
+        # The date is the partition: it is replaced even when there are no rows any more.
         loading.write_date(
             payload, target.location, processing_date, target.file_format, dynamic, limit
         )
@@ -219,7 +223,14 @@ def load_one(
         t: df.where(values_filter(df, [values])) if values else df
         for t, df in _ordered(job, tables).items()
     }
-    return load(job, some, processing_date, row_limit=row_limit)
+    result = load(job, some, processing_date, row_limit=row_limit)
+    if result.reported == 0 and values:
+        # The value has no rows any more, so no write replaced its partition.
+        spark = next(iter(some.values())).sparkSession
+        parts = [(DATE_COLUMN, processing_date), *((c, values[c]) for c in job.target.dynamic_columns)]
+        folder = "/".join(f"{c}={escape_value(v)}" for c, v in parts)
+        storage.delete_prefix(spark, f"{job.target.location}/{folder}")
+    return result
 
 
 def target_frame(spark: SparkSession, job: JobSpec, tables: Tables) -> DataFrame:

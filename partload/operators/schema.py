@@ -55,8 +55,8 @@ def _family(field: T.StructField) -> str:
     return "unsupported"
 
 
-def _declared(field: T.StructField) -> tuple[str, int | None]:
-    """('char' | 'varchar' | 'string', declared length)."""
+def declared(field: T.StructField) -> tuple[str, int | None]:
+    """How a text column is declared: ('char' | 'varchar' | 'string', length)."""
     text = (field.metadata or {}).get(_DECLARED)
     if text is None and isinstance(field.dataType, (T.CharType, T.VarcharType)):
         text = field.dataType.simpleString()
@@ -142,9 +142,9 @@ def unify(
             raise ValueError(f"column {column}: text mixed with {family} in {shown}")
         length, padded = None, False
         if family == "char":
-            declared = [_declared(f) for _, f in variants]
-            padded = any(name == "char" for name, _ in declared)
-            lengths = [n for _, n in declared]
+            lengths_of = [declared(f) for _, f in variants]
+            padded = any(name == "char" for name, _ in lengths_of)
+            lengths = [n for _, n in lengths_of]
             length = max(lengths) if None not in lengths else None
         native = preserve_types and families <= {"decimal", "date", "timestamp", "integer"}
         target = _native_type(kinds, family) if native else _compat_type(family)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from partload.functions import keys
 from partload.functions.casts import partition_text
-from partload.operators.schema import ResolvedColumn
+from partload.operators.schema import ResolvedColumn, declared
 from partload.spec import DATE_COLUMN
 
 _BUCKETS = 256
@@ -24,7 +24,10 @@ def partition_values(df: DataFrame, columns: Sequence[str]) -> list[Column]:
         f = by_name.get(column.strip().upper())
         if f is None:
             raise ValueError(f"partition column {column} not found among {df.columns}")
-        out.append(partition_text(df[f"`{f.name}`"], f.dataType).alias(column))
+        value = df[f"`{f.name}`"]
+        if declared(f)[0] == "char":
+            value = F.rtrim(value)
+        out.append(partition_text(value, f.dataType).alias(column))
     return out
 
 

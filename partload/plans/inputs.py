@@ -38,7 +38,10 @@ def month() -> F.Column:
 
 
 def order_tables(spark: SparkSession, sf_dir: str, mixed_types: bool = False) -> dict[str, DataFrame]:
-    """Orders as two load tables; with `mixed_types` the second declares other types."""
+    """All orders as two load tables; with `mixed_types` the second declares other types.
+
+    The tables split orders by key parity and are always loaded together.
+    """
     orders = table(spark, sf_dir, "orders").withColumn(MONTH, month())
     first = orders.where(F.col("o_orderkey") % 2 == 0)
     second = orders.where(F.col("o_orderkey") % 2 == 1)

@@ -134,3 +134,14 @@ def gate(counts: DataFrame, limit: ErrorLimit) -> DataFrame:
 
 def good_rows(read: DataFrame) -> DataFrame:
     return read.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def gated_read(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, limit: ErrorLimit
+) -> DataFrame:
+    """The good rows of delimited files, or an error if more rows are bad than the limit allows."""
+    read = read_with_errors(spark, paths, schema)
+    counts = gate(error_counts(read), limit).first()
+    if not counts.passed:
+        raise ValueError(f"{counts.bad_rows} of {counts.total_rows} rows are bad, above {limit}")
+    return good_rows(read)

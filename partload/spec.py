@@ -34,6 +34,12 @@ class ErrorLimit:
 
 @dataclass(frozen=True)
 class RunSetting:
+    """How a load is written.
+
+    `values_per_batch` writes partition values in groups, each with its own filtered scan, so that
+    a failed load resumes at a group; use it where sources can skip data by partition value.
+    """
+
     error_limit: ErrorLimit = field(default_factory=ErrorLimit)
     files_per_partition: int | None = None
     max_records_per_file: int = 0

@@ -1,5 +1,7 @@
 """Delimited text: options, round trips of hostile fields, and bad rows."""
 
+import random
+
 import pytest
 from pyspark.sql import types as T
 
@@ -125,6 +127,30 @@ def test_gate(spark, tmp_path, limit, passed):
     assert delimited.good_rows(read).select("k").count() == 2
 
 
+def test_gated_read(spark, tmp_path):
+    path = tmp_path / "rows.txt"
+    path.write_text('"1"\n"x"\n"2"\n')
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    good = delimited.gated_read(spark, str(path), schema, ErrorLimit(record=1))
+    assert sorted(r.k for r in good.collect()) == [1, 2]
+    with pytest.raises(ValueError, match="1 of 3 rows"):
+        delimited.gated_read(spark, str(path), schema, ErrorLimit())
+
+
+def test_random_text_round_trip(spark, tmp_path):
+    dice = random.Random(7)
+    alphabet = ["a", " ", '"', "\\", "\r", "\n", US, ",", "\t", "é", "\\N", "'", "#"]
+    rows = [
+        ["".join(dice.choices(alphabet, k=dice.randint(0, 12))) or None for _ in range(3)]
+        for _ in range(1500)
+    ]
+    df = frame(spark, [[str(i), *r] for i, r in enumerate(rows)])
+    delimited.write_delimited(df, str(tmp_path / "out"))
+    back = delimited.read_delimited(spark, str(tmp_path / "out"), df.schema)
+    got = {r[0]: list(r)[1:] for r in back.collect()}
+    assert got == {str(i): r for i, r in enumerate(rows)}
+
+
 def test_short_row_is_bad_when_every_column_is_text(spark, tmp_path):
     path = tmp_path / "rows.txt"
     path.write_text('"1"\x1f"a"\n"2"\n')

@@ -134,6 +134,33 @@ def test_load_one_replaces_one_value_from_all_tables(spark, job, tables):
         jobs.load_one(job, tables, DATE, {"other": "1"})
 
 
+def test_load_one_clears_a_value_without_rows(spark, job, tables):
+    jobs.load(job, tables, DATE)
+    gone = {t: df.where("key <> 20") for t, df in tables.items()}
+    assert jobs.load_one(job, gone, DATE, {"key": "20"}).reported == 0
+    assert [r[0] for r in stored(spark, job, tables)] == [1, 2, 4, 5, 6]
+
+
+def test_static_table_is_replaced_even_by_nothing(spark, job, tables, audit):
+    flat = replace(job, target=replace(job.target, partitions=()))
+    assert jobs.run(spark, flat, "2024-01-30", audit, tables=tables).first().target_row_count == 6
+    assert jobs.run(spark, flat, DATE, audit, tables=tables).first().target_row_count == 6
+    empty = {t: df.where("false") for t, df in tables.items()}
+    row = jobs.run(spark, flat, DATE, audit, tables=empty, force=True).first()
+    assert (row.status, row.target_row_count) == ("success", 0)
+    assert jobs.target_frame(spark, flat, tables).count() == 6
+
+
+def test_padded_text_partition(spark, job, tables):
+    declared = {"__CHAR_VARCHAR_TYPE_STRING": "char(5)"}
+    a = tables["a"].withColumn("key", F.rpad(F.lit("EU"), 5, " ").alias("key", metadata=declared))
+    a = a.withColumn("key", F.col("key").alias("key", metadata=declared))
+    some = {"a": a, "b": tables["b"].withColumn("KEY", F.lit("EU"))}
+    planned = jobs.plan(job, some, DATE).collect()
+    assert {(r.unit_key, r.row_count) for r in planned} == {("a:EU", 3), ("b:EU", 3)}
+    assert jobs.load_one(job, some, DATE, {"key": "EU"}).by_table == {"a": 3, "b": 3}
+
+
 def test_load_one_by_decimal_value(spark, job, tables):
     a = tables["a"].withColumn("key", F.lit("7.10").cast("decimal(9,2)"))
     b = tables["b"].withColumn("KEY", F.lit("7.104").cast("decimal(9,3)"))
