@@ -55,14 +55,19 @@ def _share(df: DataFrame, shares: int) -> Column:
 
 
 def choose_layout(units: DataFrame, setting: RunSetting) -> str:
-    """Settle `auto` by a unit plan: the shuffle is saved where files come out large without it."""
+    """Settle `auto` by a unit plan: the shuffle is saved where files come out large without it.
+
+    The input must also have tasks enough to keep the cluster busy; a few large unsplittable files
+    are better spread by the shuffle.
+    """
     if setting.layout != "auto":
         return setting.layout
     if setting.files_per_partition:
         return "rebalance"
     total = units.agg(F.sum("row_count").alias("rows"), F.sum("task_count").alias("files")).first()
-    large = (total.rows or 0) >= setting.min_rows_per_file * max(total.files or 0, 1)
-    return "asis" if large else "rebalance"
+    rows, files = total.rows or 0, total.files or 0
+    busy = files >= 2 * units.sparkSession.sparkContext.defaultParallelism
+    return "asis" if busy and rows >= setting.min_rows_per_file * files else "rebalance"
 
 
 def arrange(df: DataFrame, keys: Sequence[str], setting: RunSetting = RunSetting()) -> DataFrame:

@@ -12,7 +12,8 @@ DATE_COLUMN = "processing_date"
 FILE_FORMATS = ("text", "orc", "parquet")
 
 # How a load is laid out before it is written.
-#   auto       asis if that makes files of at least min_rows_per_file rows, else rebalance
+#   auto       asis if that keeps the cluster busy and makes files of at least min_rows_per_file
+#              rows, else rebalance
 #   rebalance  cluster rows by partition value in one shuffle; hot values are split by AQE
 #   asis       keep the input tasks, no shuffle; every task writes a file per value it meets
 LAYOUTS = ("auto", "rebalance", "asis")

@@ -99,7 +99,6 @@ def test_run(spark, job, tables, audit, state, file_format, registered):
 @pytest.mark.parametrize("setting", [
     RunSetting(layout="asis"),
     RunSetting(layout="rebalance"),
-    RunSetting(min_rows_per_file=1),
     RunSetting(files_per_partition=3),
     RunSetting(values_per_batch=1),
     RunSetting(max_records_per_file=1),

@@ -1,10 +1,16 @@
-"""Every query must give the rows of its SQL."""
+"""Every query must give the rows of its SQL, without cross joins or Python in its plan."""
+
+import io
+from contextlib import redirect_stdout
 
 import __spark_entry__ as entry_points
 import compare
 import pytest
 
 
+BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
+
+
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return compare.connect(sf_dir)
@@ -19,6 +25,10 @@ def test_query(spark, con, sf_dir, name):
     df = entry_points.queries()[name](spark, sf_dir)
     same, message = compare.compare(df, con, entry_points.oracle_sql()[name])
     assert same, message
+    plan = io.StringIO()
+    with redirect_stdout(plan):
+        df.explain("formatted")
+    assert not [word for word in BANNED if word in plan.getvalue()]
 
 
 def test_entry(spark):
