@@ -15,16 +15,15 @@ def _runs(spark, sf_dir):
     grouped = events.groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("processing_date")).agg(
         F.count(F.lit(1)).alias("source_row_count"),
         F.count_if(F.col("event_type") != "error").alias("target_row_count"),
-        F.max("props").alias("props"),
+        F.max("event_id").alias("last_event"),
         F.min("ts").cast("timestamp").alias("start_time"),
         F.max("ts").cast("timestamp").alias("end_time"),
     )
     status = F.when(F.col("target_row_count") == F.col("source_row_count"), "success").when(
         F.col("target_row_count") == 0, "failed"
     ).otherwise("dq_mismatch")
-    detail = F.when(
-        F.col("target_row_count") == 0, F.concat(F.lit("all rows refused "), F.repeat("props", 20))
-    )
+    note = F.repeat(F.concat(F.lit("event "), "last_event", F.lit(" ")), 20)
+    detail = F.when(F.col("target_row_count") == 0, F.concat(F.lit("all rows refused "), note))
     return audit.audit_rows(
         grouped.select(
             F.concat(F.lit("job_"), "user_id").alias("job_name"),
@@ -161,7 +160,7 @@ QUERIES = {
 _RUNS = """
 WITH grouped AS (
   SELECT user_id, strftime(ts, '%Y-%m-%d') AS processing_date, count(*) AS source_row_count,
-         count(*) FILTER (WHERE event_type <> 'error') AS target_row_count, max(props) AS props,
+         count(*) FILTER (WHERE event_type <> 'error') AS target_row_count, max(event_id) AS last_event,
          min(ts) AS start_time, max(ts) AS end_time
   FROM events GROUP BY ALL
 ), runs AS (
@@ -171,8 +170,8 @@ WITH grouped AS (
          CASE WHEN target_row_count = source_row_count THEN 'success'
               WHEN target_row_count = 0 THEN 'failed' ELSE 'dq_mismatch' END AS status,
          'spark' AS loader, source_row_count AS reported_count,
-         CASE WHEN target_row_count = 0 THEN 'all rows refused ' || repeat(props, 20) END
-           AS error_detail, start_time, end_time
+         CASE WHEN target_row_count = 0
+              THEN 'all rows refused ' || repeat('event ' || last_event || ' ', 20) END AS error_detail, start_time, end_time
   FROM grouped
 )"""
 

@@ -111,16 +111,30 @@ def test_conform_casts_and_order(spark):
     assert kept.e == ""
 
 
-def test_instants_are_written_in_utc(spark):
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "America/Sao_Paulo", "Asia/Kathmandu"])
+def test_times_do_not_depend_on_the_session_zone(spark, zone):
+    """02:30 on that day does not exist in Berlin, nor 00:30 on the other one in Sao Paulo."""
+    stamps = ["2024-03-31 02:30:00.123456", "2018-11-04 00:30:00", "2024-01-01 23:59:59.5", "1969-12-31 23:59:59.999999"]
     before = spark.conf.get("spark.sql.session.timeZone")
-    df = spark.sql("SELECT timestamp_micros(1711846800123456L) AS t")
+    df = spark.createDataFrame([(s,) for s in stamps], "s string").select(
+        F.col("s").cast("timestamp_ntz").alias("wall"),
+        F.to_timestamp(F.concat("s", F.lit("+00:00"))).alias("instant"),
+        F.col("s").cast("timestamp_ntz").cast("date").alias("day"),
+    )
     try:
-        for zone in ("UTC", "Europe/Berlin", "America/Sao_Paulo", "Asia/Kathmandu"):
-            spark.conf.set("spark.sql.session.timeZone", zone)
-            text = df.select(casts.timestamp_text(F.col("t"), T.TimestampType())).first()[0]
-            assert text == "2024-03-31 01:00:00.123456"
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        resolved = {c: df.schema[c].dataType for c in df.columns}
+        got = df.select(
+            *[casts.timestamp_text(F.col(c), t).alias(f"{c}_ts") for c, t in resolved.items()],
+            *[casts.date_text(F.col(c), t).alias(f"{c}_day") for c, t in resolved.items()],
+        ).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+    for stamp, row in zip(stamps, got):
+        full = (stamp if "." in stamp else stamp + ".").ljust(26, "0")
+        assert row.wall_ts == row.instant_ts == full
+        assert row.wall_day == row.instant_day == row.day_day == stamp[:10]
+        assert row.day_ts == stamp[:10] + " 00:00:00.000000"
 
 
 def test_target_order():
