@@ -138,8 +138,7 @@ def _write(
     observed = arranged.observe(seen, F.count(F.lit(1)).alias("rows"), *per_table)
     payload = observed.drop(loading.ORDINAL)
     target, limit = job.target, job.setting.max_records_per_file
-    if replace_date or not dynamic:
-        # The date is the partition: it is replaced even when there are no rows any more.
+    if replace_date:
         loading.write_date(
             payload, target.location, processing_date, target.file_format, dynamic, limit
         )
@@ -148,6 +147,10 @@ def _write(
             payload, target.location, target.file_format, target.partition_columns, limit
         )
     got = seen.get
+    if got["rows"] == 0 and not dynamic:
+        # The date is the partition, and a write without rows replaces none.
+        spark = observed.sparkSession
+        storage.delete_prefix(spark, f"{target.location}/{DATE_COLUMN}={processing_date}")
     return LoadResult(got["rows"], {n: got[f"t{i}"] for i, n in enumerate(names)})
 
 
