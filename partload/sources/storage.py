@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,6 @@ from partload.functions.times import date_from_path
 from partload.spec import DATE_COLUMN
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
-_local_base: str | None = None
 
 
 def _fs(spark: SparkSession, path: str):
@@ -23,15 +21,12 @@ def _fs(spark: SparkSession, path: str):
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder for intermediate tables, removed when the application ends.
 
-    It lies in the shared folder the session names in spark.checkpoint.dir. Only a local-mode
-    session without that setting falls back to a temporary folder of this machine.
+    It lies in the shared folder the session names in spark.checkpoint.dir, or in the warehouse,
+    which all executors share too, where the session names none.
     """
-    global _local_base
     base = spark.conf.get(_CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
-        base = _local_base = _local_base or tempfile.mkdtemp(prefix="partload-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     path = f"{base.rstrip('/')}/partload-{uuid.uuid4().hex}"
     fs, jpath = _fs(spark, path)
     fs.mkdirs(jpath)

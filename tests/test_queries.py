@@ -7,6 +7,7 @@ import __spark_entry__ as entry_points
 import compare
 import pytest
 
+from partload import plans
 
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 
@@ -17,13 +18,14 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(plans.queries()) == set(plans.oracles())
+    assert plans.queries().items() <= entry_points.queries().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(plans.queries()))
 def test_query(spark, con, sf_dir, name):
-    df = entry_points.queries()[name](spark, sf_dir)
-    same, message = compare.compare(df, con, entry_points.oracle_sql()[name])
+    df = plans.queries()[name](spark, sf_dir)
+    same, message = compare.compare(df, con, plans.oracles()[name])
     assert same, message
     plan = io.StringIO()
     with redirect_stdout(plan):
