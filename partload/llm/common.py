@@ -72,6 +72,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def byte_values(data: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A random-looking 64-bit value for each byte; with `lower`, A-Z like a-z."""
+    return (_LOWER_BYTE if lower else _BYTE)[data]
+
+
 class Words:
     """The words of a slice of texts: byte span, 64-bit hash, and the first word of each text."""
 
@@ -84,8 +89,7 @@ class Words:
         self.start = np.flatnonzero(word & (~before | edge[:-1]))
         self.end = np.flatnonzero(word & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.start, offsets)
-        values = (_LOWER_BYTE if lower else _BYTE)[data]
-        self.hash = span_hash(running_hash(values), self.start, self.end)
+        self.hash = span_hash(running_hash(byte_values(data, lower)), self.start, self.end)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:

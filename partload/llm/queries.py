@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partload.llm import minhash, substring
+from partload.llm import minhash, mixing, packing, substring
 from partload.llm.common import read
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = minhash.NearParams(shingle=3, percent=85)
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), params)
@@ -21,7 +27,18 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixing.words_taken(plan).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
+    "op3_packed_sequences": packed_sequences,
+    "op8_mixed_sources": mixed_sources,
     "op6_near_documents": near_documents,
     "op9_repeated_passages": repeated_passages,
 }
