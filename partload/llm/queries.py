@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partload.llm import minhash, mixing, packing, substring
+from partload.llm import minhash, mixing, packing, quality, substring
 from partload.llm.common import read
 
 
@@ -31,6 +31,11 @@ def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "model", "trusted", "symbols", "perplexity", "threshold", "kept")
+
+
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(read(spark, sf_dir, "documents"))
     return mixing.words_taken(plan).select("doc_id", "size", "source_size", "target", "taken")
@@ -39,6 +44,7 @@ def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_packed_sequences": packed_sequences,
     "op8_mixed_sources": mixed_sources,
+    "op5_document_quality": document_quality,
     "op6_near_documents": near_documents,
     "op9_repeated_passages": repeated_passages,
 }
