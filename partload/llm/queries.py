@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partload.llm import minhash, mixing, packing, quality, substring
+from partload.llm import langid, minhash, mixing, packing, quality, substring
 from partload.llm.common import read
 
 
@@ -36,12 +36,17 @@ def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "model", "trusted", "symbols", "perplexity", "threshold", "kept")
 
 
+def document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(read(spark, sf_dir, "documents"))
     return mixing.words_taken(plan).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
+    "op2_document_languages": document_languages,
     "op3_packed_sequences": packed_sequences,
     "op8_mixed_sources": mixed_sources,
     "op5_document_quality": document_quality,
