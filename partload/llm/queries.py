@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partload.llm import langid, minhash, mixing, packing, quality, substring
+from partload.llm import langid, minhash, mixing, packing, quality, substring, vectors
 from partload.llm.common import read
 
 
@@ -40,6 +40,10 @@ def document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(read(spark, sf_dir, "documents"))
     return mixing.words_taken(plan).select("doc_id", "size", "source_size", "target", "taken")
@@ -49,6 +53,7 @@ QUERIES = {
     "op2_document_languages": document_languages,
     "op3_packed_sequences": packed_sequences,
     "op8_mixed_sources": mixed_sources,
+    "op4_near_embeddings": near_embeddings,
     "op5_document_quality": document_quality,
     "op6_near_documents": near_documents,
     "op9_repeated_passages": repeated_passages,
@@ -57,6 +62,25 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
+    "op4_near_embeddings": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        u AS (
+            SELECT vec_id, e FROM v
+            WHERE e IS NOT NULL AND len(e) = len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x)))
+                AND list_sum(list_transform(e, lambda x: x * x)) > 0
+        ), link AS (
+            SELECT x.vec_id AS a, y.vec_id AS b
+            FROM u AS x JOIN u AS y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+            WHERE list_cosine_similarity(x.e, y.e) >= 0.95
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM v
+            UNION
+            SELECT r.a, l.b FROM reach AS r JOIN link AS l ON l.a = r.b
+        ), n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, low AS component_id, low = vec_id AS kept
+        FROM v JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) AS r ON r.a = vec_id
+            LEFT JOIN n ON n.a = vec_id
+    """,
     "op6_near_documents": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, regexp_extract_all(
