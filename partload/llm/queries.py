@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partload.llm import langid, minhash, mixing, packing, quality, substring, vectors
+from partload.llm import fingerprints, langid, minhash, mixing, packing, quality, substring, vectors
 from partload.llm.common import read
 
 
@@ -44,6 +44,10 @@ def near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(read(spark, sf_dir, "documents"))
     return mixing.words_taken(plan).select("doc_id", "size", "source_size", "target", "taken")
@@ -52,6 +56,7 @@ def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_document_languages": document_languages,
     "op3_packed_sequences": packed_sequences,
+    "op7_document_fingerprints": document_fingerprints,
     "op8_mixed_sources": mixed_sources,
     "op4_near_embeddings": near_embeddings,
     "op5_document_quality": document_quality,
