@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partload.llm import fingerprints, langid, minhash, mixing, packing, quality, substring, vectors
+from partload.llm import fingerprints, langid, minhash, mixing, packing, quality, substring, vectors, warc
 from partload.llm.common import read
 
 
@@ -48,6 +48,12 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
 
 
+def archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(read(spark, sf_dir, "documents"))
     return mixing.words_taken(plan).select("doc_id", "size", "source_size", "target", "taken")
@@ -61,6 +67,7 @@ QUERIES = {
     "op4_near_embeddings": near_embeddings,
     "op5_document_quality": document_quality,
     "op6_near_documents": near_documents,
+    "op10_archived_pages": archived_pages,
     "op9_repeated_passages": repeated_passages,
 }
 
@@ -116,6 +123,21 @@ ORACLES: dict[str, str] = {
         FROM d JOIN reach AS r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
         GROUP BY d.doc_id, n.n
     """,
+    "op10_archived_pages": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        h AS (SELECT page_id, html, strlen(html)::BIGINT AS bytes, sha1(html) AS hex FROM p),
+        d AS (
+            SELECT page_id, html, bytes, array_to_string(list_transform(range(0, 32), lambda i:
+                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1,
+                    1)), '') AS payload_digest
+            FROM h
+        ), f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM d)
+        SELECT page_id, bytes AS payload_bytes, payload_digest,
+            CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id > first THEN first END AS refers_to
+        FROM f
+    """,
     "op9_repeated_passages": rf"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
         win AS (
