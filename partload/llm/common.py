@@ -77,6 +77,49 @@ def byte_values(data: np.ndarray, lower: bool = False) -> np.ndarray:
     return (_LOWER_BYTE if lower else _BYTE)[data]
 
 
+class HashIndex:
+    """A hash table from 64-bit keys to numbers from 0, looked up and filled by whole arrays."""
+
+    def __init__(self, bits: int = 16):
+        self.bits, self.size = bits, 0
+        self.keys = np.zeros(1 << bits, dtype=_U)
+        self.values = np.full(1 << bits, -1, dtype=np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where there is none."""
+        slot = self._slot(keys)
+        out = self.values[slot]
+        todo = np.flatnonzero((self.keys[slot] != keys) & (out >= 0))
+        slot = slot[todo]
+        while len(todo):
+            slot = (slot + 1) & ((1 << self.bits) - 1)
+            out[todo] = self.values[slot]
+            miss = (self.keys[slot] != keys[todo]) & (out[todo] >= 0)
+            todo, slot = todo[miss], slot[miss]
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Distinct keys that are not in the table yet; it stays at most half full."""
+        self.size += len(keys)
+        if 2 * self.size > len(self.keys):
+            used = self.values >= 0
+            keys = np.concatenate([self.keys[used], keys])
+            values = np.concatenate([self.values[used], values])
+            self.bits = int(2 * self.size).bit_length()
+            self.keys = np.zeros(1 << self.bits, dtype=_U)
+            self.values = np.full(1 << self.bits, -1, dtype=np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.values[slot] < 0
+            self.values[slot[free]] = values[left[free]]
+            self.keys[slot[free]] = keys[left[free]]
+            lost = self.keys[slot] != keys[left]
+            left, slot = left[lost], (slot[lost] + 1) & ((1 << self.bits) - 1)
+
+
 class Words:
     """The words of a slice of texts: byte span, 64-bit hash, and the first word of each text."""
 
@@ -92,7 +135,7 @@ class Words:
         self.hash = span_hash(running_hash(byte_values(data, lower)), self.start, self.end)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch of about `limit` bytes of text; a longer text is one part."""
     _, offsets = text_bytes(batch.column(column))
     at = 0
@@ -173,8 +216,6 @@ def components(edges: DataFrame) -> DataFrame:
     of its neighbours, found by a partial minimum, and writes the links it leaves to the shared
     scratch folder, so no neighbour list is ever gathered and a lost executor costs one step.
     """
-    spark = edges.sparkSession
-
     def both(e: DataFrame) -> DataFrame:
         return e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 

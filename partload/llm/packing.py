@@ -13,6 +13,7 @@ sequences is within about one for a group of what one global packing would need.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partload.llm.common import byte_values, running_hash, slices, span_hash, spread, text_bytes
+from partload.llm.common import HashIndex, byte_values, running_hash, slices, span_hash, spread, text_bytes
 from partload.sources import storage
 
 
@@ -42,16 +43,24 @@ class PackParams:
     per_group: int = 8192
 
 
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_PUNCTUATION = np.zeros(256, dtype=bool)
+_PUNCTUATION[33:48] = _PUNCTUATION[58:65] = _PUNCTUATION[91:97] = _PUNCTUATION[123:127] = True
+
+
 class CachedTokenizer:
     """Token ids of many texts, encoding every distinct stretch between safe cuts once.
 
-    The byte-level pattern never joins the end of a word with the white space behind it, so a text
-    may be cut in front of a space or line feed that follows an ASCII character other than white
-    space, or a letter of the Latin-1 block. Stretches already met are looked up by hash; the store
-    holds `limit` of them and the others are encoded again.
+    The byte-level pattern never joins the end of a word with what follows it, so a text may be cut in
+    front of a space or line feed that follows an ASCII character other than white space or one of
+    the Latin-1 block, and in front of ASCII punctuation that follows a letter. Stretches already met are
+    looked up by hash; the store takes about `limit` of them and others are encoded again.
     """
 
     def __init__(self, path: str, limit: int = 1_500_000):
+        # Tasks are parallel already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -61,9 +70,10 @@ class CachedTokenizer:
         # One character of a byte-level token stands for one byte.
         self.width[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self.limit = limit
-        self.known = np.zeros(0, np.uint64)
-        self.first = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.known = HashIndex()
+        self.count = np.zeros(0, np.int32)
+        self.begin = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint16 if len(self.width) <= 1 << 16 else np.uint32)
 
     def _encode(self, parts: list[bytes], safe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token counts and ids of stretches; neighbours that are safe to join share a call."""
@@ -89,55 +99,41 @@ class CachedTokenizer:
         blank = (data == 32) | (data == 10)
         firm = (data > 32) & (data < 127)
         firm[1:] |= (data[1:] >= 128) & (data[:-1] == 0xC3)
+        letter = _LETTER[data]
         cut = np.zeros(n + 1, dtype=bool)
-        cut[1:n] = blank[1:] & firm[:-1]
+        cut[1:n] = (blank[1:] & firm[:-1]) | (_PUNCTUATION[data[1:]] & letter[:-1])
         cut[offsets] = True
         bounds = np.flatnonzero(cut)
         start, end = bounds[:-1], bounds[1:]
         hashes = span_hash(running_hash(byte_values(data)), start, end)
-        distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, distinct)
-        hit = np.zeros(len(distinct), dtype=bool)
-        inside = at < len(self.known)
-        hit[inside] = self.known[at[inside]] == distinct[inside]
-        new = np.flatnonzero(~hit)
-        counts = np.zeros(len(distinct), np.int64)
-        begins = np.zeros(len(distinct), np.int64)
-        counts[hit] = np.diff(self.first)[at[hit]]
-        begins[hit] = self.first[at[hit]]
-        store = self.ids
-        if len(new):
-            raw = data.tobytes()
-            s, e = start[sample[new]], end[sample[new]]
+        which = self.known.get(hashes)
+        count, begin, store = self.count, self.begin, self.ids
+        miss = np.flatnonzero(which < 0)
+        if len(miss):
+            new, sample, inverse = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            s, e = start[miss[sample]], end[miss[sample]]
             safe = blank[s] & firm[e - 1]
-            # Unsafe ones last: each ends a joint call.
+            # Unsafe ones last: each is encoded alone.
             order = np.argsort(~safe, kind="stable")
+            raw = data.tobytes()
             parts = [raw[a:b] for a, b in zip(s[order].tolist(), e[order].tolist(), strict=True)]
             got, ids = self._encode(parts, safe[order])
-            new = new[order]
-            counts[new] = got
-            begins[new] = len(store) + np.cumsum(got) - got
-            store = np.concatenate([store, ids])
-        tokens = counts[which]
+            place = np.empty(len(new), dtype=np.int32)
+            place[order] = np.arange(len(count), len(count) + len(new))
+            which[miss] = place[inverse]
+            begin = np.concatenate([begin, (len(store) + np.cumsum(got) - got).astype(np.int32)])
+            count = np.concatenate([count, got.astype(np.int32)])
+            store = np.concatenate([store, ids.astype(store.dtype)])
+            if len(count) <= self.limit:
+                self.known.add(new, place)
+                self.count, self.begin, self.ids = count, begin, store
+        tokens = count[which]
         ends = np.cumsum(tokens)
-        total = int(ends[-1])
-        source = np.repeat(begins[which] - (ends - tokens), tokens) + np.arange(total)
+        source = np.repeat(begin[which] - (ends - tokens).astype(np.int32), tokens)
+        source += np.arange(len(source), dtype=np.int32)
         text_ends = np.concatenate([[0], ends])[np.searchsorted(start, offsets)]
-        if len(new) and len(self.known) < self.limit:
-            self._keep(distinct, counts, begins, hit, store)
         return store[source], text_ends
 
-    def _keep(self, distinct, counts, begins, hit, store) -> None:
-        fresh = np.flatnonzero(~hit)
-        keys = np.concatenate([self.known, distinct[fresh]])
-        sizes = np.concatenate([np.diff(self.first), counts[fresh]])
-        places = np.concatenate([self.first[:-1], begins[fresh]])
-        order = np.argsort(keys, kind="stable")  # merges the two sorted runs
-        sizes, places = sizes[order], places[order]
-        first = np.concatenate([[0], np.cumsum(sizes)])
-        source = np.repeat(places - first[:-1], sizes) + np.arange(first[-1])
-        self.known, self.first, self.ids = keys[order], first, store[source]
-
 
 _loaded: dict[str, CachedTokenizer] = {}
 
@@ -155,7 +151,7 @@ def _pieces(path: str, params: PackParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(path)
         for batch in batches:
-            for part in slices(batch, "text", 1 << 22):
+            for part in slices(batch, "text", 1 << 21):
                 ids, ends = encode(*text_bytes(part.column("text")))
                 ids = ids.astype("<u4")
                 row, piece, start, length, crc = [], [], [], [], []
