@@ -4,38 +4,74 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from partload.llm import minhash, substring
+from partload.llm import minhash, mixing, packing, quality, substring
+from partload.llm.common import fingerprint, read
+from partload.llm.queries import tokenizer_file
 from partload.sources import storage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+_NO_ID = -(1 << 63)
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    """Adds _id, which joins where doc_id is null too."""
+    return df.withColumn("_id", F.coalesce("doc_id", F.lit(_NO_ID)))
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is above the threshold of their language go."""
+    judged = quality.judge(docs, read(spark, sf_dir, "labels"))
+    bad = _keyed(judged.where("NOT kept")).select("_id", F.col("fp").alias("_fp"))
+    keyed = _keyed(docs).withColumn("_fp", fingerprint())
+    return keyed.join(bad, ["_id", "_fp"], "left_anti").select(docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id."""
-    gone = minhash.near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    """One document of each group stays, the one with the smallest id; rows that repeat an id are one.
+
+    Rows with a null id stay, unless they repeat a text.
+    """
+    gone = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_id"))
+    alone = F.when(F.col("doc_id").isNull(), fingerprint())
+    one = Window.partitionBy("_id", "_fp").orderBy("text")
+    keyed = _keyed(docs).withColumn("_fp", F.coalesce(alone, F.lit(0).cast("long")))
+    left = keyed.join(gone.distinct(), "_id", "left_anti")
+    return left.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages of 50 words or more that occur twice go; other texts stay as they are."""
-    cut = substring.remove_repeats(docs).where("n_removed > 0").dropDuplicates(["doc_id", "fp"])
-    cut = cut.select(
-        F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("kept_text").alias("_kept")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (substring.fingerprint() == F.col("_fp"))
-    text = F.when(F.col("_id").isNull() & F.col("_kept").isNull(), F.col("text")).otherwise(F.col("_kept"))
-    joined = docs.join(cut, same, "left")
+    cut = substring.remove_repeats(docs).where("n_removed > 0")
+    cut = _keyed(cut).select("_id", F.col("fp").alias("_fp"), F.col("kept_text").alias("_kept"))
+    keyed = _keyed(docs).withColumn("_fp", fingerprint())
+    text = F.coalesce("_kept", "text")
+    joined = keyed.join(cut.dropDuplicates(["_id", "_fp"]), ["_id", "_fp"], "left")
     return joined.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(docs.columns)
 
 
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target shares; a document taken twice is two rows."""
+    return mixing.mixed_documents(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("good_quality", good_quality),
     ("near_duplicates", near_duplicates),
     ("repeated_passages", repeated_passages),
+    ("mixed_sources", mixed_sources),
+    ("packed_sequences", packed_sequences),
 ]
 
+# The perplexity, the permutations and the tokens cannot be said in SQL.
 ORACLE_SQL = None
 
 

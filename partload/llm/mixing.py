@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partload.llm.common import WORD, dense_index, fingerprint, mix64, running_total, spread
+from partload.llm.common import WORD, Words, dense_index, mix64, running_total, slices, spread, text_bytes
 from partload.sources import storage
 
 _U = np.uint64
@@ -53,6 +54,13 @@ class Mix:
     block_words: int
 
 
+_NO_ID = -(1 << 63)
+
+
+def _fingerprint() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("source", F.lit("")))
+
+
 def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
     """A keyed permutation of range(size), at index: four Feistel rounds, walking cycles.
 
@@ -164,7 +172,7 @@ def mix(docs: DataFrame, params: MixParams = MixParams()) -> Mix:
     sized = docs.select(
         "doc_id",
         "source",
-        fingerprint().alias("fp"),
+        _fingerprint().alias("fp"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
     sized = storage.materialise(sized, "sized")
@@ -256,3 +264,48 @@ def spans_taken(plan: Mix) -> DataFrame:
     return plan.rows.where("size > 0").join(taken, ["rank", "start"]).select(
         "doc_id", "fp", "size", "turn", "spans"
     )
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts shortened to their spans; a span is cut out of the text as it stands there."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            data, offsets = text_bytes(part.column("text"))
+            words, raw = Words(data, offsets), data.tobytes()
+            out = []
+            for i, spans in enumerate(part.column("spans").to_pylist()):
+                first, n = int(words.first[i]), int(words.first[i + 1] - words.first[i])
+                runs: list[list[int]] = []
+                for span in spans:
+                    if runs and runs[-1][1] == span["word"]:
+                        runs[-1][1] += span["words"]
+                    else:
+                        runs.append([span["word"], span["word"] + span["words"]])
+                if runs == [[0, n]]:
+                    out.append(raw[offsets[i] : offsets[i + 1]].decode())
+                else:
+                    cut = [raw[words.start[first + a] : words.end[first + b - 1]] for a, b in runs]
+                    out.append(b" ".join(cut).decode())
+            at = part.schema.get_field_index("text")
+            yield part.set_column(at, "text", pa.array(out, pa.string())).drop_columns(["spans"])
+
+
+def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
+    """The mix as documents with the columns of docs: one row for each document and turn it is taken in.
+
+    The text of a row is what the turn takes of it, the whole text where it takes all words; n_chars,
+    if there is such a column, follows. Documents without words are not in a mix. Rows that agree
+    in id, source and text take their other columns from one of them.
+    """
+    plan = mix(docs, params)
+    spans = spans_taken(plan).select(
+        F.coalesce("doc_id", F.lit(_NO_ID)).alias("_id"), F.col("fp").alias("_fp"), "spans"
+    )
+    keyed = docs.withColumn("_id", F.coalesce("doc_id", F.lit(_NO_ID))).withColumn("_fp", _fingerprint())
+    one = Window.partitionBy("_id", "_fp").orderBy("_id", "_fp")
+    texts = keyed.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
+    taken = texts.join(spans, ["_id", "_fp"]).select(*docs.columns, "spans")
+    out = taken.mapInArrow(_cut, docs.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out

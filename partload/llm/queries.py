@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partload.llm import fingerprints, langid, minhash, mixing, packing, quality, substring, vectors, warc
+from partload.llm import fingerprints, langid, minhash, mixing, packing, quality, quotes, substring, vectors, warc
 from partload.llm.common import read
 
 
@@ -54,12 +54,18 @@ def archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def linked_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = quotes.link_quotations(read(spark, sf_dir, "conversations"))
+    return linked.withColumn("chat", quotes.chat_text()).drop("clean")
+
+
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(read(spark, sf_dir, "documents"))
     return mixing.words_taken(plan).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
+    "op1_linked_quotations": linked_quotations,
     "op2_document_languages": document_languages,
     "op3_packed_sequences": packed_sequences,
     "op7_document_fingerprints": document_fingerprints,
