@@ -32,7 +32,7 @@ class NearParams:
     """`percent`: links need 100 * intersection >= percent * union.
 
     24 bands of 5 coordinates miss a pair of similarity 0.8 with probability 7e-5, and one of
-    0.85 with 8e-7.
+    0.85 with 8e-7. `block`: shingles of the documents a task compares with others at once.
     """
 
     shingle: int = 5
@@ -40,6 +40,7 @@ class NearParams:
     bands: int = 24
     rows: int = 5
     lower: bool = True
+    block: int = 200_000
 
 
 def shingle_sets(words: Words, k: int) -> Iterator[np.ndarray]:
@@ -131,6 +132,19 @@ def _tested(params: NearParams):
     return run
 
 
+def _sets(params: NearParams):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words = Words(*text_bytes(part.column("text")), lower=params.lower)
+                sets = [s.view(np.int64) for s in shingle_sets(words, params.shingle)]
+                yield pa.record_batch(
+                    {"rep": part.column("doc_id"), "shingles": pa.array(sets, pa.list_(pa.int64()))}
+                )
+
+    return run
+
+
 def verified(docs: DataFrame, pairs: DataFrame, params: NearParams) -> DataFrame:
     """Those pairs (a, b) whose full sets pass the test.
 
@@ -148,6 +162,72 @@ def verified(docs: DataFrame, pairs: DataFrame, params: NearParams) -> DataFrame
     )
 
 
+def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """The intersection sizes of all sets in a with all sets in b, by products of 0/1 matrices."""
+    sizes = [len(s) for s in a] + [len(s) for s in b]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, n = np.unique(np.concatenate(a + b), return_inverse=True, return_counts=True)
+    shared = n[column] > 1
+    owner, column = owner[shared], (np.cumsum(n > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    width = 2048
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        at = slice(*np.searchsorted(column, [low, low + width]))
+        ones = np.zeros((len(sizes), width), dtype=np.float32)
+        ones[owner[at], column[at] - low] = 1
+        out += ones[: len(a)] @ ones[len(a) :].T
+    return out
+
+
+def _between(params: NearParams):
+    """Links between the components of two blocks of a bucket, one for each row and component."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        block = table.column("block").to_numpy()
+        left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        rep, component = table.column("rep").to_numpy(), table.column("component").to_numpy()
+        sets = [x.values.to_numpy() for x in table.column("shingles")]
+        both = _common([sets[i] for i in left], [sets[i] for i in right])
+        size = np.array([len(x) for x in sets])
+        union = size[left][:, None] + size[right][None, :] - both
+        good = (100 * both >= params.percent * union) & (
+            component[left][:, None] != component[right][None, :]
+        )
+        i, j = np.nonzero(good)
+        _, first = np.unique(np.stack([i, component[right[j]]]), axis=1, return_index=True)
+        return pa.table({"a": rep[left[i[first]]], "b": rep[right[j[first]]]})
+
+    return run
+
+
+def open_links(docs: DataFrame, entries: DataFrame, params: NearParams) -> DataFrame:
+    """Links (a, b) between different components of a bucket: entries (bucket, rep, component, blocks).
+
+    The members of a bucket are dealt to blocks of about `params.block` shingles, and every two blocks
+    meet in one task, so a large bucket is compared in many tasks of bounded size.
+    """
+    wanted = entries.select(F.col("rep").alias("doc_id")).distinct()
+    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(
+        _sets(params), "rep long, shingles array<long>"
+    )
+    sets = storage.materialise(sets, "sets").distinct()
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = (
+        entries.withColumn("block", block).withColumn("other", other)
+        .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+        .select("bucket", "low", "high", "block", "rep", "component")
+    )
+    return (
+        dealt.join(sets, "rep")
+        .groupBy("bucket", "low", "high")
+        .applyInArrow(_between(params), "a long, b long")
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of docs.
 
@@ -159,7 +239,8 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
     2. In every band bucket each class is compared with the bucket's smallest one. The number of
        pairs is at most the number of bucket entries.
     3. Buckets whose classes are not all connected then are compared in full between components,
-       so that no link that could join two components is lost.
+       block by block within tasks, so that no link that could join two components is lost and none
+       of the pairs becomes a row.
     """
     rows = docs.select("doc_id", "text")
     sketched = storage.materialise(
@@ -182,12 +263,10 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
     entries = storage.materialise(entries.join(shared, "bucket"), "entries")
     sizes = entries.select(F.col("rep").alias("pivot"), F.col("n_shingles").alias("_n")).distinct()
 
-    def likely(a: str, b: str) -> F.Column:
-        return 100 * F.least(a, b) >= params.percent * F.greatest(a, b)
-
     stars = (
         entries.where("rep <> pivot").select("pivot", "rep", "n_shingles").distinct()
-        .join(sizes, "pivot").where(likely("n_shingles", "_n"))
+        .join(sizes, "pivot")
+        .where(100 * F.least("n_shingles", "_n") >= params.percent * F.greatest("n_shingles", "_n"))
         .select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
     )
     stars = storage.materialise(stars, "stars")
@@ -199,21 +278,13 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
         "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("component")
     )
     mixed = placed.groupBy("bucket").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high")
-    ).where("_low <> _high").select("bucket")
-    open_ = storage.materialise(placed.join(mixed, "bucket"), "open")
-    left = open_.select("bucket", F.col("rep").alias("a"), F.col("n_shingles").alias("na"),
-                        F.col("component").alias("ca"))
-    right = open_.select("bucket", F.col("rep").alias("b"), F.col("n_shingles").alias("nb"),
-                         F.col("component").alias("cb"))
-    rest = (
-        left.join(right, "bucket").where("a < b AND ca <> cb").where(likely("na", "nb"))
-        .select("a", "b").distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more = storage.materialise(rest, "rest")
-    if not more.isEmpty():
-        found = components(links.union(verified(rows, more, params)))
+        F.min("component").alias("_low"), F.max("component").alias("_high"),
+        F.ceil(F.sum("n_shingles") / params.block).alias("blocks"),
+    ).where("_low <> _high").select("bucket", "blocks")
+    open_ = storage.materialise(placed.join(mixed, "bucket").drop("n_shingles"), "open")
+    if not open_.isEmpty():
+        more = open_links(rows, open_, params)
+        found = storage.materialise(components(links.union(more)), "components")
     found = found.select(F.col("node").alias("rep"), "component")
     placed = member.join(found, "rep", "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component_id")
