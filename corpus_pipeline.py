@@ -18,16 +18,16 @@ _NO_ID = -(1 << 63)
 
 
 def _keyed(df: DataFrame) -> DataFrame:
-    """Adds _id, which joins where doc_id is null too."""
-    return df.withColumn("_id", F.coalesce("doc_id", F.lit(_NO_ID)))
+    """Adds __doc, which joins where doc_id is null too."""
+    return df.withColumn("__doc", F.coalesce("doc_id", F.lit(_NO_ID)))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is above the threshold of their language go."""
     judged = quality.judge(docs, read(spark, sf_dir, "labels"))
-    bad = _keyed(judged.where("NOT kept")).select("_id", F.col("fp").alias("_fp"))
-    keyed = _keyed(docs).withColumn("_fp", fingerprint())
-    return keyed.join(bad, ["_id", "_fp"], "left_anti").select(docs.columns)
+    bad = _keyed(judged.where("NOT kept")).select("__doc", F.col("fp").alias("__fp"))
+    keyed = _keyed(docs).withColumn("__fp", fingerprint())
+    return keyed.join(bad, ["__doc", "__fp"], "left_anti").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,21 +35,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows with a null id stay, unless they repeat a text.
     """
-    gone = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_id"))
+    gone = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__doc"))
     alone = F.when(F.col("doc_id").isNull(), fingerprint())
-    one = Window.partitionBy("_id", "_fp").orderBy("text")
-    keyed = _keyed(docs).withColumn("_fp", F.coalesce(alone, F.lit(0).cast("long")))
-    left = keyed.join(gone.distinct(), "_id", "left_anti")
-    return left.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(docs.columns)
+    one = Window.partitionBy("__doc", "__fp").orderBy("text")
+    keyed = _keyed(docs).withColumn("__fp", F.coalesce(alone, F.lit(0).cast("long")))
+    left = keyed.join(gone.distinct(), "__doc", "left_anti")
+    return left.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages of 50 words or more that occur twice go; other texts stay as they are."""
     cut = substring.remove_repeats(docs).where("n_removed > 0")
-    cut = _keyed(cut).select("_id", F.col("fp").alias("_fp"), F.col("kept_text").alias("_kept"))
-    keyed = _keyed(docs).withColumn("_fp", fingerprint())
-    text = F.coalesce("_kept", "text")
-    joined = keyed.join(cut.dropDuplicates(["_id", "_fp"]), ["_id", "_fp"], "left")
+    cut = _keyed(cut).select("__doc", F.col("fp").alias("__fp"), F.col("kept_text").alias("__kept"))
+    keyed = _keyed(docs).withColumn("__fp", fingerprint())
+    text = F.coalesce("__kept", "text")
+    joined = keyed.join(cut.dropDuplicates(["__doc", "__fp"]), ["__doc", "__fp"], "left")
     return joined.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(docs.columns)
 
 

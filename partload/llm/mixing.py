@@ -273,7 +273,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = text_bytes(part.column("text"))
             words, raw = Words(data, offsets), data.tobytes()
             out = []
-            for i, spans in enumerate(part.column("spans").to_pylist()):
+            for i, spans in enumerate(part.column("__spans").to_pylist()):
                 first, n = int(words.first[i]), int(words.first[i + 1] - words.first[i])
                 runs: list[list[int]] = []
                 for span in spans:
@@ -287,7 +287,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     cut = [raw[words.start[first + a] : words.end[first + b - 1]] for a, b in runs]
                     out.append(b" ".join(cut).decode())
             at = part.schema.get_field_index("text")
-            yield part.set_column(at, "text", pa.array(out, pa.string())).drop_columns(["spans"])
+            yield part.set_column(at, "text", pa.array(out, pa.string())).drop_columns(["__spans"])
 
 
 def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
@@ -299,12 +299,12 @@ def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFra
     """
     plan = mix(docs, params)
     spans = spans_taken(plan).select(
-        F.coalesce("doc_id", F.lit(_NO_ID)).alias("_id"), F.col("fp").alias("_fp"), "spans"
+        F.coalesce("doc_id", F.lit(_NO_ID)).alias("__doc"), F.col("fp").alias("__fp"), F.col("spans").alias("__spans")
     )
-    keyed = docs.withColumn("_id", F.coalesce("doc_id", F.lit(_NO_ID))).withColumn("_fp", _fingerprint())
-    one = Window.partitionBy("_id", "_fp").orderBy("_id", "_fp")
-    texts = keyed.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
-    taken = texts.join(spans, ["_id", "_fp"]).select(*docs.columns, "spans")
+    keyed = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(_NO_ID))).withColumn("__fp", _fingerprint())
+    one = Window.partitionBy("__doc", "__fp").orderBy("__doc", "__fp")
+    texts = keyed.withColumn("__n", F.row_number().over(one)).where("__n = 1").drop("__n")
+    taken = texts.join(spans, ["__doc", "__fp"]).select(*docs.columns, "__spans")
     out = taken.mapInArrow(_cut, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))

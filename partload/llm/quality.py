@@ -337,9 +337,9 @@ def score(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityPar
             _scored(shard), "doc_id long, fp long, model string, log_p double, symbols long"
         )
         sums = part if sums is None else sums.union(part)
-    # A row that repeats a document adds as much to the sum as to the count.
+    # Rows that repeat a document add as often to the sum as to the count.
     total = sums.groupBy("doc_id", "fp", "model").agg(
-        F.sum("log_p").alias("log_p"), (F.sum("symbols") / shards).alias("symbols")
+        (F.sum("log_p") * shards / F.count(F.lit(1))).alias("log_p"), F.max("symbols").alias("symbols")
     )
     perplexity = F.when((F.col("symbols") > 0) & (F.col("log_p") < 0), F.exp(-F.col("log_p") / F.col("symbols")))
     return (
