@@ -50,19 +50,23 @@ def unit_label(values: Column) -> Column:
     return F.array_join(F.map_values(values), "_", NULL_PARTITION)
 
 
-def unit_key(load_table: Column, label: Column) -> Column:
-    return F.concat(
-        load_table, F.lit(":"), F.coalesce(F.nullif(label, F.lit("")), F.lit("static"))
+def relative_path(values: Column) -> Column:
+    """`col=value/...`, escaped, so that different values never share one."""
+    parts = F.transform(
+        F.map_entries(values), lambda e: F.concat(e["key"], F.lit("="), escape_col(e["value"]))
     )
+    return F.array_join(parts, "/")
+
+
+def unit_key(load_table: Column, values: Column) -> Column:
+    """Tells units apart: labels are for display and may coincide, paths do not."""
+    return F.concat(escape_col(load_table), F.lit(":"), relative_path(values))
 
 
 def partition_path(base: str, date_column: str, date: Column, values: Column) -> Column:
     """`base/processing_date=D/col=value/...`"""
-    parts = F.transform(
-        F.map_entries(values), lambda e: F.concat(e["key"], F.lit("="), escape_col(e["value"]))
-    )
     head = F.concat(F.lit(f"{base.rstrip('/')}/{date_column}="), date)
-    return F.concat_ws("/", F.array(head), parts)
+    return F.concat_ws("/", head, F.nullif(relative_path(values), F.lit("")))
 
 
 def partition_spec_text(values: Column) -> Column:

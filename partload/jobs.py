@@ -187,9 +187,6 @@ def load(
         order = [c for c in frame.columns if c not in (DATE_COLUMN, loading.ORDINAL, *dynamic)]
         return units.cap_rows(frame, [loading.ORDINAL, *dynamic], order, row_limit)
 
-    if wanted is not None and dynamic:
-        layout = loading.choose_layout(wanted, job.setting)
-        job = replace(job, setting=replace(job.setting, layout=layout))
     size = job.setting.values_per_batch
     if wanted is None or not dynamic or not size:
         def scope(frame):
@@ -334,13 +331,14 @@ def run(
             ).first()[0]
         loading.ensure_dir(spark, job.target.location)
         result = LoadResult(0)
-        if not todo.isEmpty():
+        clear = job.replace_date and stored == 0
+        if clear or not todo.isEmpty():
             result = load(
                 job, tables, processing_date, todo, row_limit,
                 after_batch=(
                     (lambda u: state.append(name, processing_date, u, WRITTEN)) if state else None
                 ),
-                whole_date=job.replace_date and stored == 0,
+                whole_date=clear,
             )
         row = reconcile_job(
             spark, job, tables, processing_date, every, result.reported + stored, start
@@ -349,12 +347,13 @@ def run(
         audit.record(
             _audit_row(
                 spark, job, processing_date,
-                status=reconcile.FAILED, error_detail=str(error)[:2000], start_time=start,
+                status=reconcile.FAILED, error_detail=str(error), start_time=start,
             )
         )
         raise
     audit.record(row)
-    if state is not None and row.first().status == reconcile.SUCCESS:
+    if state is not None:
+        # After a mismatch too: what was written is in doubt then, so the next run loads it all again.
         state.clear(name, processing_date)
     return row
 
@@ -382,7 +381,7 @@ def run_all(
             outcomes.append((job.table_name, "skipped" if row is None else row.first().status, None))
         except Exception as error:  # noqa: BLE001
             log.error("%s failed: %s", job.table_name, error)
-            outcomes.append((job.table_name, reconcile.FAILED, str(error)[:2000]))
+            outcomes.append((job.table_name, reconcile.FAILED, str(error)))
     return rows.few_rows(spark, "job_name string, outcome string, error string", outcomes)
 
 

@@ -54,28 +54,13 @@ def _share(df: DataFrame, shares: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(shares))
 
 
-def choose_layout(units: DataFrame, setting: RunSetting) -> str:
-    """Settle `auto` by a unit plan: the shuffle is saved where files come out large without it.
-
-    The input must also have tasks enough to keep the cluster busy; a few large unsplittable files
-    are better spread by the shuffle.
-    """
-    if setting.layout != "auto":
-        return setting.layout
-    if setting.files_per_partition:
-        return "rebalance"
-    total = units.agg(F.sum("row_count").alias("rows"), F.sum("task_count").alias("files")).first()
-    rows, files = total.rows or 0, total.files or 0
-    busy = files >= 2 * units.sparkSession.sparkContext.defaultParallelism
-    return "asis" if busy and rows >= setting.min_rows_per_file * files else "rebalance"
-
-
 def arrange(df: DataFrame, keys: Sequence[str], setting: RunSetting = RunSetting()) -> DataFrame:
     """Lay rows out before a partitioned write, so that V values and T tasks do not make V x T files.
 
     Without dynamic keys there is one directory and nothing to move, unless a file count is asked
     for. With keys, rows meet by key; AQE splits a key that holds too much and joins small ones.
-    Where AQE is off, every key is spread over salted shares instead.
+    Where AQE is off, every key is spread over salted shares instead. An asked-for file count deals
+    every key to that many tasks, which AQE leaves as they are.
     """
     files = setting.files_per_partition
     if not keys:
@@ -83,13 +68,14 @@ def arrange(df: DataFrame, keys: Sequence[str], setting: RunSetting = RunSetting
     if setting.layout == "asis":
         return df
     conf = df.sparkSession.conf
+    tasks = int(conf.get("spark.sql.shuffle.partitions"))
+    if files:
+        # The shares of one key have consecutive numbers, so no two of them meet in a task.
+        tasks = max(tasks, files)
+        number = F.pmod(F.hash(*[F.col(k) for k in keys]) + _share(df, files), F.lit(tasks))
+        return df.repartitionById(tasks, number.cast("int"))
     if conf.get("spark.sql.adaptive.enabled").lower() != "true":
-        shares = files or int(conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(*[F.col(k) for k in keys], _share(df, shares))
-    if files and files > 1:
-        share = "_share"
-        spread = df.withColumn(share, _share(df, files))
-        return spread.hint("rebalance", *keys, share).drop(share)
+        return df.repartition(*[F.col(k) for k in keys], _share(df, tasks))
     return df.hint("rebalance", *keys)
 
 

@@ -32,33 +32,29 @@ def partition_values(df: DataFrame, columns: Sequence[str]) -> list[Column]:
 
 
 def unit_counts(tables: Mapping[str, DataFrame], dynamic: Sequence[str]) -> DataFrame:
-    """Rows per unit: (load_table, load_ordinal, *dynamic, row_count, task_count).
+    """Rows per unit: (load_table, load_ordinal, *dynamic, row_count).
 
     One column-pruned pass; rows are counted per task before the shuffle, so one value holding
-    most rows costs no more than any other. task_count is about how many input tasks hold rows of
-    the unit. A table without dynamic columns is one unit, even when it is empty.
+    most rows costs no more than any other. A table without dynamic columns is one unit, even when
+    it is empty.
     """
-    task = "_task"
     frames = [
         df.select(
             F.lit(table).alias("load_table"),
             F.lit(i).alias("load_ordinal"),
             *partition_values(df, dynamic),
-            F.spark_partition_id().alias(task),
         )
         for i, (table, df) in enumerate(tables.items())
     ]
     if not dynamic:
         per_table = [
-            frame.agg(F.count(F.lit(1)).alias("row_count"), F.approx_count_distinct(task).alias("task_count"))
-            .select(F.lit(table).alias("load_table"), F.lit(i).alias("load_ordinal"), "row_count", "task_count")
+            frame.agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(table).alias("load_table"), F.lit(i).alias("load_ordinal"), "row_count")
             for i, (table, frame) in enumerate(zip(tables, frames))
         ]
         return reduce(DataFrame.unionByName, per_table)
     grouped = reduce(DataFrame.unionByName, frames).groupBy("load_table", "load_ordinal", *dynamic)
-    return grouped.agg(
-        F.count(F.lit(1)).alias("row_count"), F.approx_count_distinct(task).alias("task_count")
-    )
+    return grouped.agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def describe_units(
@@ -81,10 +77,9 @@ def describe_units(
         "partition_values",
         keys.where_text(dynamic, numeric).alias("where_clause"),
         "file_label",
-        keys.unit_key(F.col("load_table"), F.col("file_label")).alias("unit_key"),
+        keys.unit_key(F.col("load_table"), F.col("partition_values")).alias("unit_key"),
         keys.partition_path(base, DATE_COLUMN, date, F.col("partition_values")).alias("target_path"),
         "row_count",
-        "task_count",
     )
 
 

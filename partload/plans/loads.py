@@ -105,7 +105,7 @@ def idempotent_rerun(spark, sf_dir):
 
 
 def skewed_fanout_load(spark, sf_dir):
-    """Lineitem by flag and status, few heavy values, each spread over up to four files."""
+    """Lineitem by flag and status, few heavy values, each in exactly four files."""
     lineitem = table(spark, sf_dir, "lineitem")
     job = orders_job(spark, setting=RunSetting(files_per_partition=4))
     dynamic = ("l_returnflag", "l_linestatus")
@@ -119,7 +119,7 @@ def skewed_fanout_load(spark, sf_dir):
     return _read(spark, job, tables).groupBy(*dynamic).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.sum("l_orderkey").alias("key_sum"),
-        (F.countDistinct("_metadata.file_path") <= 4).alias("few_files"),
+        F.countDistinct("_metadata.file_path").alias("file_count"),
     )
 
 
@@ -232,7 +232,7 @@ def _units_and_state(spark, sf_dir):
     planned = planned.withColumn("target_path", relative)
     resolved = schema.unify({t: df.schema for t, df in tables.items()}, ["o_orderstatus"])
     frame = loading.load_frame(tables, resolved, [MONTH], DATE)
-    label = F.when(F.col(loading.ORDINAL) == 0, "lt1:").otherwise("lt2:")
+    label = F.when(F.col(loading.ORDINAL) == 0, "lt1:order_month=").otherwise("lt2:order_month=")
     counted = frame.groupBy(F.concat(label, MONTH).alias("unit_key")).agg(
         F.count_if(F.col("o_orderstatus") == "F").alias("done"),
         F.count_if(F.col("o_orderstatus") == "O").alias("open"),
@@ -300,7 +300,7 @@ _PATH = f"'processing_date={DATE}/order_month=' || order_month"
 ORACLES = {
     "plan_units": _UNITS + f"""
 SELECT load_table, 'order_month = ' || order_month AS where_clause, order_month AS file_label,
-       load_table || ':' || order_month AS unit_key,
+       load_table || ':order_month=' || order_month AS unit_key,
        '/warehouse.db/orders/' || {_PATH} AS target_path, row_count,
        'order_month="' || order_month || '"' AS partition_spec
 FROM units""",
@@ -333,7 +333,7 @@ SELECT {MONTH_TEXT_SQL} AS order_month, count(*) AS row_count,
 FROM orders GROUP BY ALL""",
     "skewed_fanout_load": """
 SELECT l_returnflag, l_linestatus, count(*) AS row_count,
-       CAST(sum(l_orderkey) AS BIGINT) AS key_sum, true AS few_files
+       CAST(sum(l_orderkey) AS BIGINT) AS key_sum, 4::BIGINT AS file_count
 FROM lineitem GROUP BY ALL""",
     "text_load": f"""
 SELECT doc_id, md5(text) AS text_md5, nullif(source, '') AS source, n_chars,
@@ -359,11 +359,11 @@ SELECT CAST(sum(least(row_count, 5)) AS BIGINT) AS target_count,
        CAST(sum(least(row_count, 5)) AS BIGINT) AS reported_count, true AS passed
 FROM (SELECT * FROM units ORDER BY load_table, order_month LIMIT 3)""",
     "resume_pending": _UNITS + f"""
-SELECT load_table || ':' || order_month AS unit_key, {_PATH} AS target_path, row_count
+SELECT load_table || ':order_month=' || order_month AS unit_key, {_PATH} AS target_path, row_count
 FROM units u
 WHERE EXISTS (SELECT 1 FROM units o WHERE o.order_month = u.order_month AND NOT o.written)""",
     "resume_reused": _UNITS + f"""
-SELECT load_table || ':' || order_month AS unit_key, {_PATH} AS target_path,
+SELECT load_table || ':order_month=' || order_month AS unit_key, {_PATH} AS target_path,
        row_count AS records_read
 FROM units u
 WHERE NOT EXISTS (SELECT 1 FROM units o WHERE o.order_month = u.order_month AND NOT o.written)""",

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partload.functions.keys import match_values
+from partload.sources.catalog import ident
 
 
 def read_load_tables(
     spark: SparkSession, owner: str, names: Sequence[str]
 ) -> dict[str, DataFrame]:
     """Catalog tables of one owner by name."""
-    return {n: spark.table(f"{owner}.{n}" if owner else n) for n in names}
+    return {n: spark.table(ident(f"{owner}.{n}" if owner else n)) for n in names}
 
 
 def scoped_scan(

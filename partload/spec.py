@@ -12,11 +12,9 @@ DATE_COLUMN = "processing_date"
 FILE_FORMATS = ("text", "orc", "parquet")
 
 # How a load is laid out before it is written.
-#   auto       asis if that keeps the cluster busy and makes files of at least min_rows_per_file
-#              rows, else rebalance
 #   rebalance  cluster rows by partition value in one shuffle; hot values are split by AQE
 #   asis       keep the input tasks, no shuffle; every task writes a file per value it meets
-LAYOUTS = ("auto", "rebalance", "asis")
+LAYOUTS = ("rebalance", "asis")
 
 
 @dataclass(frozen=True)
@@ -39,14 +37,15 @@ class RunSetting:
 
     `values_per_batch` writes partition values in groups, each with its own filtered scan, so that
     a failed load resumes at a group; use it where sources can skip data by partition value.
+    `files_per_partition` asks for exactly that many files in every partition with rows enough; a
+    file then is as large as the partition makes it, unless max_records_per_file cuts it.
     """
 
     error_limit: ErrorLimit = field(default_factory=ErrorLimit)
     files_per_partition: int | None = None
     max_records_per_file: int = 0
     values_per_batch: int | None = None
-    layout: str = "auto"
-    min_rows_per_file: int = 500_000
+    layout: str = "rebalance"
 
     def __post_init__(self):
         if self.layout not in LAYOUTS:
@@ -181,8 +180,7 @@ def job_from_dict(raw: Mapping, default_name: str = "", root: str = "") -> JobSp
             files_per_partition=setting.get("speed_channel") or setting.get("files_per_partition"),
             max_records_per_file=setting.get("max_records_per_file", 0),
             values_per_batch=setting.get("values_per_batch"),
-            layout=setting.get("layout", "auto"),
-            min_rows_per_file=setting.get("min_rows_per_file", 500_000),
+            layout=setting.get("layout", "rebalance"),
         ),
         retention_days=raw.get("retention_days"),
         enabled=raw.get("enabled", True),

@@ -90,8 +90,8 @@ def test_unit_texts(spark):
     values = keys.values_map(names)
     row = df.select(
         keys.unit_label(values).alias("label"),
-        keys.unit_key(F.lit("t"), keys.unit_label(values)).alias("key"),
-        keys.unit_key(F.lit("t"), keys.unit_label(keys.values_map([]))).alias("static"),
+        keys.unit_key(F.lit("t"), values).alias("key"),
+        keys.unit_key(F.lit("t:1"), keys.values_map([])).alias("static"),
         keys.partition_spec_text(values).alias("spec"),
         keys.where_text(names, ["a"]).alias("where"),
         keys.where_text([]).alias("no_where"),
@@ -99,7 +99,8 @@ def test_unit_texts(spark):
         keys.sorted_entries(keys.values_map(["c", "a"])).alias("entries"),
     ).first()
     null = keys.NULL_PARTITION
-    assert row.label == f"7_it's_{null}" and row.key == f"t:7_it's_{null}" and row.static == "t:static"
+    assert row.label == f"7_it's_{null}" and row.key == f"t:a=7/b=it%27s/c={null}"
+    assert row.static == "t%3A1:"
     assert row.spec == f'a="7", b="it\'s", c="{null}"'
     assert row.where == "a = 7 AND b = 'it''s' AND c IS NULL" and row.no_where == ""
     assert row.path == f"/base/processing_date=2024-01-01/a=7/b=it%27s/c={null}"

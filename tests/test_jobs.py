@@ -64,18 +64,18 @@ EVERYTHING = [
 
 def test_plan(spark, job, tables):
     rows = {r.unit_key: r for r in jobs.plan(job, tables, DATE).collect()}
-    assert set(rows) == {"a:10", "a:20", "b:10", "b:30", f"b:{'__HIVE_DEFAULT_PARTITION__'}"}
-    assert rows["a:10"].row_count == 2 and rows["a:10"].where_clause == "key = 10"
-    assert rows["a:10"].target_path == rows["b:10"].target_path
-    assert rows["a:10"].target_path.endswith(f"/fact/processing_date={DATE}/key=10")
-    assert rows["b:__HIVE_DEFAULT_PARTITION__"].where_clause == "key IS NULL"
+    assert set(rows) == {"a:key=10", "a:key=20", "b:key=10", "b:key=30", "b:key=__HIVE_DEFAULT_PARTITION__"}
+    assert rows["a:key=10"].row_count == 2 and rows["a:key=10"].where_clause == "key = 10"
+    assert rows["a:key=10"].target_path == rows["b:key=10"].target_path
+    assert rows["a:key=10"].target_path.endswith(f"/fact/processing_date={DATE}/key=10")
+    assert rows["b:key=__HIVE_DEFAULT_PARTITION__"].where_clause == "key IS NULL"
 
 
 def test_static_table_is_one_unit_per_load_table(spark, job, tables):
     flat = replace(job, target=replace(job.target, partitions=()))
     tables["b"] = tables["b"].where("false")
     rows = {r.unit_key: r.row_count for r in jobs.plan(flat, tables, DATE).collect()}
-    assert rows == {"a:static": 3, "b:static": 0}
+    assert rows == {"a:": 3, "b:": 0}
 
 
 @pytest.mark.parametrize("file_format", ["parquet", "orc", "text"])
@@ -156,7 +156,7 @@ def test_padded_text_partition(spark, job, tables):
     a = a.withColumn("key", F.col("key").alias("key", metadata=declared))
     some = {"a": a, "b": tables["b"].withColumn("KEY", F.lit("EU"))}
     planned = jobs.plan(job, some, DATE).collect()
-    assert {(r.unit_key, r.row_count) for r in planned} == {("a:EU", 3), ("b:EU", 3)}
+    assert {(r.unit_key, r.row_count) for r in planned} == {("a:key=EU", 3), ("b:key=EU", 3)}
     assert jobs.load_one(job, some, DATE, {"key": "EU"}).by_table == {"a": 3, "b": 3}
 
 
@@ -170,6 +170,64 @@ def test_load_one_by_decimal_value(spark, job, tables):
     assert len(stored(spark, job, some)) == 6
 
 
+def text_keys(spark, job):
+    """Two text partition columns whose values coincide once joined by `_`."""
+    some = spark.createDataFrame(
+        [(1, "1_2", "3"), (2, "1", "2_3"), (3, "static", "static")], "id int, k string, l string"
+    )
+    job = replace(
+        job,
+        source=replace(job.source, load_tables=("a",), columns=("id", "k", "l")),
+        target=replace(job.target, partitions=(PartitionColumn("k", True), PartitionColumn("l", True))),
+    )
+    return job, {"a": some}
+
+
+def test_resume_tells_text_keys_apart(spark, job, audit, state):
+    job, some = text_keys(spark, job)
+    planned = storage.materialise(jobs.plan(job, some, DATE))
+    assert planned.select("unit_key").distinct().count() == 3
+    first = storage.materialise(planned.where("k = '1_2'"))
+    jobs.load(job, some, DATE, first)
+    state.append("fact", DATE, first, "written")
+    row = jobs.run(spark, job, DATE, audit, state, some).first()
+    assert (row.status, row.target_row_count, row.reported_count) == ("success", 3, 3)
+
+
+def test_long_error_text_is_kept(spark, job, tables, audit):
+    text = "x" * 5000
+    bad = {t: df.withColumn("NAME", F.raise_error(F.lit(text)).cast("string")) for t, df in tables.items()}
+    with pytest.raises(Exception):
+        jobs.run(spark, job, DATE, audit, tables=bad)
+    assert text in audit.read().first().error_detail
+
+
+def test_a_run_after_a_mismatch_loads_all_again(spark, job, tables, audit, state):
+    job = replace(job, setting=RunSetting(values_per_batch=1))
+    with pytest.raises(Exception, match="source is gone"):
+        jobs.run(spark, job, DATE, audit, state, failing(tables, 30))
+    # What the state calls written is lost.
+    storage.delete_prefix(spark, f"{job.target.location}/processing_date={DATE}/key=10")
+    assert jobs.run(spark, job, DATE, audit, state, tables).first().status == "dq_mismatch"
+    assert not state.exists("fact", DATE)
+    assert jobs.run(spark, job, DATE, audit, state, tables).first().status == "success"
+    assert stored(spark, job, tables) == EVERYTHING
+
+
+def test_replace_date_of_an_emptied_source(spark, job, tables, audit, state):
+    job = replace(job, replace_date=True)
+    jobs.run(spark, job, DATE, audit, state, tables)
+    empty = {t: df.where("false") for t, df in tables.items()}
+    row = jobs.run(spark, job, DATE, audit, state, empty, force=True).first()
+    assert (row.status, row.source_row_count, row.target_row_count) == ("success", 0, 0)
+
+
+def test_names_that_need_quotes(spark, job, tables, audit):
+    tables["a"].createOrReplaceTempView("order")
+    job = replace(job, source=replace(job.source, owner="", load_tables=("order",)))
+    assert jobs.run(spark, job, DATE, audit).first().target_row_count == 3
+
+
 def failing(tables, key):
     bad = F.when(F.col("KEY") == key, F.raise_error(F.lit("source is gone"))).otherwise(F.col("NAME"))
     return {"a": tables["a"], "b": tables["b"].withColumn("NAME", bad.cast("string"))}
@@ -183,7 +241,7 @@ def test_failed_run_is_audited_and_resumes(spark, job, tables, audit, state):
     assert failed.status == "failed" and "source is gone" in failed.error_detail
     assert failed.source_row_count is None
     done = {r.unit_key for r in state.latest("fact", DATE).collect()}
-    assert {"a:10", "a:20", "b:10"} <= done and "b:30" not in done
+    assert {"a:key=10", "a:key=20", "b:key=10"} <= done and "b:key=30" not in done
     before = {p: p.stat().st_mtime_ns for p in files_of(job, "10")}
     row = jobs.run(spark, job, DATE, audit, state, tables).first()
     assert (row.status, row.target_row_count, row.reported_count) == ("success", 6, 6)

@@ -105,15 +105,19 @@ def test_layouts_shuffle_once_at_most(spark, sf_dir, setting, shuffles):
     assert "Exchange" not in plan_of(loading.arrange(frame, [], RunSetting()))
 
 
-LAYOUT_CASES = [(1000, 100, "asis"), (999, 100, "rebalance"), (1000, 2, "rebalance"), (0, 0, "rebalance")]
-
-
-@pytest.mark.parametrize("rows,tasks,layout", LAYOUT_CASES)
-def test_layout_choice(spark, rows, tasks, layout):
-    plan = spark.createDataFrame([(rows, tasks)], "row_count bigint, task_count bigint")
-    assert loading.choose_layout(plan, RunSetting(min_rows_per_file=10)) == layout
-    assert loading.choose_layout(plan, RunSetting(layout="rebalance")) == "rebalance"
-    assert loading.choose_layout(plan, RunSetting(files_per_partition=2)) == "rebalance"
+def test_asked_file_count_is_exact(spark, sf_dir, tmp_path):
+    """Many input tasks and a small advisory size leave the asked number of files as it is."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "16kb")
+    try:
+        df = table(spark, sf_dir, "lineitem").repartition(24).withColumn("processing_date", F.lit(DATE))
+        keys = ["l_returnflag", "l_linestatus"]
+        laid = loading.arrange(df, keys, RunSetting(files_per_partition=4))
+        loading.write_target(laid, str(tmp_path), partition_columns=("processing_date", *keys))
+    finally:
+        spark.conf.unset(size)
+    found = [len(list(p.glob("part-*.parquet"))) for p in tmp_path.glob("*/*/l_linestatus=*")]
+    assert found and set(found) == {4}
 
 
 def test_hot_value_is_split_and_small_ones_are_joined(spark, tmp_path):
