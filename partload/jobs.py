@@ -20,7 +20,7 @@ from partload.operators.audit import AUDIT_SCHEMA, AuditLog, audit_rows
 from partload.operators.state import WRITTEN, StateTable, pending_units, reused_units
 from partload.sources import catalog, rows, storage
 from partload.sources.tables import read_load_tables, restrict
-from partload.spec import DATE_COLUMN, JobSpec, TargetSpec
+from partload.spec import DATE_COLUMN, ErrorLimit, JobSpec, TargetSpec
 
 log = logging.getLogger(__name__)
 
@@ -59,16 +59,28 @@ def plan(job: JobSpec, tables: Tables, processing_date: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Rows the writer saw, in all and per load table. Telemetry: never the verdict."""
+    """Rows the writer saw, in all and per load table, and rows that did not fit and were left out.
+
+    Telemetry: never the verdict.
+    """
 
     reported: int
     by_table: dict[str, int] = field(default_factory=dict)
+    failed: int = 0
+
+    def check(self, limit: ErrorLimit) -> None:
+        """Raise if more rows did not fit than the limit allows."""
+        total = self.reported + self.failed
+        most = limit.record if limit.record is not None else total * limit.percentage
+        if self.failed > most:
+            raise ValueError(f"{self.failed} of {total} rows do not fit their types, above {limit}")
 
     def __add__(self, other: LoadResult) -> LoadResult:
         names = {**self.by_table, **other.by_table}
         return LoadResult(
             self.reported + other.reported,
             {n: self.by_table.get(n, 0) + other.by_table.get(n, 0) for n in names},
+            self.failed + other.failed,
         )
 
 
@@ -134,9 +146,14 @@ def _write(
     )
     arranged = loading.arrange(frame, dynamic, job.setting)
     seen = Observation(f"load-{uuid.uuid4().hex}")
-    per_table = [F.count_if(F.col(loading.ORDINAL) == i).alias(f"t{i}") for i in range(len(names))]
-    observed = arranged.observe(seen, F.count(F.lit(1)).alias("rows"), *per_table)
-    payload = observed.drop(loading.ORDINAL)
+    fits = ~F.col(loading.MISFIT)
+    per_table = [
+        F.count_if(fits & (F.col(loading.ORDINAL) == i)).alias(f"t{i}") for i in range(len(names))
+    ]
+    observed = arranged.observe(
+        seen, F.count_if(fits).alias("rows"), F.count_if(~fits).alias("failed"), *per_table
+    )
+    payload = observed.where(fits).drop(loading.ORDINAL, loading.MISFIT)
     target, limit = job.target, job.setting.max_records_per_file
     if replace_date:
         loading.write_date(
@@ -151,7 +168,22 @@ def _write(
         # The date is the partition, and a write without rows replaces none.
         spark = observed.sparkSession
         storage.delete_prefix(spark, f"{target.location}/{DATE_COLUMN}={processing_date}")
-    return LoadResult(got["rows"], {n: got[f"t{i}"] for i, n in enumerate(names)})
+    return LoadResult(got["rows"], {n: got[f"t{i}"] for i, n in enumerate(names)}, got["failed"])
+
+
+def _failed_by_unit(
+    job: JobSpec, tables: Tables, resolved: Sequence[schemas.ResolvedColumn], wanted: DataFrame
+) -> DataFrame:
+    """The wanted units with records_failed. Only a load that left rows out pays for this pass."""
+    dynamic = job.target.dynamic_columns
+    frame = loading.load_frame(tables, resolved, dynamic, "", job.empty_as_null)
+    counts = frame.where(loading.MISFIT).groupBy(
+        F.col(loading.ORDINAL).alias("_ordinal"), *[F.col(c).alias(f"_u_{c}") for c in dynamic]
+    ).agg(F.count(F.lit(1)).alias("records_failed"))
+    same = F.col("load_ordinal") == F.col("_ordinal")
+    for c in dynamic:
+        same = same & F.col(c).eqNullSafe(F.col(f"_u_{c}"))
+    return wanted.join(counts, same, "left").select(*wanted.columns, "records_failed")
 
 
 def _scopes(wanted: DataFrame, dynamic: Sequence[str]) -> Iterator[dict[str, str | None]]:
@@ -174,6 +206,8 @@ def load(
     `wanted` restricts the load to the partition values of a unit plan. With `values_per_batch`
     the values are written in groups, so that a failed load resumes at the group that failed.
     `row_limit` caps the rows of each unit, for proof loads. `whole_date` clears the date first.
+    Rows that do not fit their types are left out; after the write the job's error limit decides,
+    and a load above it raises before any unit counts as written.
     """
     tables = _ordered(job, tables)
     resolved = resolve(job, tables)
@@ -184,7 +218,8 @@ def load(
     def capped(frame: DataFrame) -> DataFrame:
         if row_limit <= 0:
             return frame
-        order = [c for c in frame.columns if c not in (DATE_COLUMN, loading.ORDINAL, *dynamic)]
+        marks = (DATE_COLUMN, loading.ORDINAL, loading.MISFIT)
+        order = [c for c in frame.columns if c not in (*marks, *dynamic)]
         return units.cap_rows(frame, [loading.ORDINAL, *dynamic], order, row_limit)
 
     size = job.setting.values_per_batch
@@ -193,19 +228,25 @@ def load(
             return capped(frame if wanted is None else restrict(frame, wanted, dynamic))
 
         result = _write(job, tables, resolved, processing_date, scope, whole_date)
+        result.check(job.setting.error_limit)
         if after_batch and wanted is not None:
-            after_batch(wanted)
+            after_batch(
+                _failed_by_unit(job, tables, resolved, wanted) if result.failed else wanted
+            )
         return result
     if whole_date:
         storage.delete_prefix(spark, f"{job.target.location}/{DATE_COLUMN}={processing_date}")
     total = LoadResult(0, {t: 0 for t in tables})
     for group in batched(_scopes(wanted, dynamic), size):
         some = {t: df.where(values_filter(df, group)) for t, df in tables.items()}
-        total += _write(job, some, resolved, processing_date, capped, False)
+        result = _write(job, some, resolved, processing_date, capped, False)
+        total += result
+        total.check(job.setting.error_limit)
         if after_batch:
             schema = T.StructType([T.StructField(c, T.StringType()) for c in dynamic])
             values = rows.few_rows(spark, schema, [tuple(g[c] for c in dynamic) for g in group])
-            after_batch(restrict(wanted, values, dynamic))
+            done = restrict(wanted, values, dynamic)
+            after_batch(_failed_by_unit(job, some, resolved, done) if result.failed else done)
     return total
 
 
@@ -278,6 +319,7 @@ def reconcile_job(
     wanted: DataFrame,
     reported: int | None = None,
     start: dt.datetime | None = None,
+    failed: int = 0,
 ) -> DataFrame:
     """Register, count both sides afresh, and return the audit row."""
     start = start or dt.datetime.now()
@@ -293,6 +335,7 @@ def reconcile_job(
         target_row_count=counted.target_count,
         status=counted.status,
         reported_count=reported,
+        error_detail=f"{failed} rows did not fit their types" if failed else None,
         start_time=start,
     )
 
@@ -341,7 +384,7 @@ def run(
                 whole_date=clear,
             )
         row = reconcile_job(
-            spark, job, tables, processing_date, every, result.reported + stored, start
+            spark, job, tables, processing_date, every, result.reported + stored, start, result.failed
         )
     except Exception as error:
         audit.record(

@@ -46,7 +46,10 @@ class Sink:
 
 
 def file_sink(spark: SparkSession, path: str, file_format: str = "json") -> Sink:
-    """Rows appended to a folder of JSON lines (or parquet); unreadable JSON lines are skipped."""
+    """Rows appended to a folder of JSON lines (or parquet), one directory per processing date.
+
+    A lookup of one date reads that directory only. Unreadable JSON lines are skipped.
+    """
 
     def read() -> DataFrame:
         if not storage.exists(spark, path):
@@ -54,11 +57,12 @@ def file_sink(spark: SparkSession, path: str, file_format: str = "json") -> Sink
         reader = spark.read.schema(AUDIT_SCHEMA)
         if file_format == "json":
             reader = reader.options(mode="DROPMALFORMED", **_JSON)
-        return reader.format(file_format).load(path)
+        return reader.format(file_format).load(path).select(*AUDIT_COLUMNS)
 
     def write(df: DataFrame) -> None:
         options = _JSON if file_format == "json" else {}
-        df.write.mode("append").options(**options).format(file_format).save(path)
+        writer = df.write.mode("append").options(**options).partitionBy("processing_date")
+        writer.format(file_format).save(path)
 
     return Sink(f"{file_format}:{path}", write, read)
 

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partload.operators.schema import ResolvedColumn, conform, payload_columns
+from partload.operators.schema import ResolvedColumn, conform, misfit, payload_columns
 from partload.operators.units import partition_values
 from partload.sources import delimited, storage
 from partload.spec import DATE_COLUMN, RunSetting
 
 ORDINAL = "_load_ordinal"
+MISFIT = "_load_misfit"
 
 
 def load_frame(
@@ -23,7 +24,10 @@ def load_frame(
     processing_date: str,
     empty_as_null: bool = True,
 ) -> DataFrame:
-    """All load tables as one frame: payload, processing_date, dynamic values as text, ordinal."""
+    """All load tables as one frame: payload, processing_date, dynamic values as text, ordinal.
+
+    Rows with values that do not fit are marked.
+    """
     dropped = {c.lower() for c in dynamic}
     payload = [c for c in resolved if c.name.lower() not in dropped]
     out = None
@@ -33,6 +37,7 @@ def load_frame(
             F.lit(processing_date).alias(DATE_COLUMN),
             *partition_values(df, dynamic),
             F.lit(i).cast("tinyint").alias(ORDINAL),
+            misfit(df, payload, empty_as_null).alias(MISFIT),
         )
         out = part if out is None else out.unionByName(part)
     return out

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partload.functions.times import cutoff
-from partload.sources import catalog, storage
+from partload.sources import catalog, rows, storage
 from partload.spec import DATE_COLUMN
 
+_DELETES_AT_ONCE = 16
+
 EXPIRY_SCHEMA = (
     "partition_date date, prefix string, would_delete boolean, objects_deleted bigint, "
     "partition_dropped boolean, error string"
@@ -69,7 +72,8 @@ def apply_retention(
 ) -> DataFrame:
     """Carry out the expired rows of a plan, one result row per date.
 
-    Works through directory names on the driver; no data rows pass it.
+    Only directory names pass the driver, which asks for the deletes of many dates at a time; each
+    date may be repeated, and its metadata goes last.
     """
     expired = plan.where(F.col("action") == "expired").select("partition_date", "prefix")
     if dry_run:
@@ -78,8 +82,11 @@ def apply_retention(
             F.lit(0).cast("bigint").alias("objects_deleted"),
             F.lit(False).alias("partition_dropped"), F.lit("").alias("error"),
         )
-    done = [
-        expire_one(spark, r.partition_date, r.prefix, table)
-        for r in expired.orderBy("partition_date").toLocalIterator()
-    ]
-    return spark.createDataFrame(done, EXPIRY_SCHEMA)
+    with ThreadPoolExecutor(_DELETES_AT_ONCE) as pool:
+        done = list(
+            pool.map(
+                lambda r: expire_one(spark, r.partition_date, r.prefix, table),
+                expired.orderBy("partition_date").toLocalIterator(),
+            )
+        )
+    return rows.few_rows(spark, EXPIRY_SCHEMA, done)

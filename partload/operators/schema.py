@@ -155,10 +155,9 @@ def unify(
 def cast_column(
     col: Column, source_type: T.DataType, to: ResolvedColumn, empty_as_null: bool = True
 ) -> Column:
-    if to.native:
-        return col.cast(to.target_type)
-    if to.family in ("decimal", "integer"):
-        return col.cast(to.target_type)
+    """The value in its target type; NULL where it does not fit, see `misfit`."""
+    if to.native or to.family in ("decimal", "integer"):
+        return col.try_cast(to.target_type)
     if to.family == "date":
         return casts.date_text(col, source_type)
     if to.family == "timestamp":
@@ -167,6 +166,25 @@ def cast_column(
     return empty_to_null(text) if empty_as_null else text
 
 
+def misfit(df: DataFrame, resolved: Sequence[ResolvedColumn], empty_as_null: bool = True) -> Column:
+    """Whether a row holds a value that does not fit its target type.
+
+    An empty text that counts as NULL is no misfit.
+    """
+    by_name = {f.name.strip().upper(): f for f in df.schema.fields}
+    out = F.lit(False)
+    for to in resolved:
+        f = by_name[to.name.strip().upper()]
+        if f.dataType == to.target_type or not (to.native or to.family in ("decimal", "integer")):
+            continue
+        value = df[f"`{f.name}`"]
+        given = value.isNotNull()
+        if empty_as_null and isinstance(f.dataType, T.StringType):
+            given = given & (F.trim(value) != "")
+        out = out | (given & cast_column(value, f.dataType, to).isNull())
+    return out
+
+
 def conform(
     df: DataFrame, resolved: Sequence[ResolvedColumn], empty_as_null: bool = True
 ) -> list[Column]:

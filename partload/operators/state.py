@@ -78,13 +78,14 @@ class StateTable:
         )
 
     def append(self, job_name: str, processing_date: str, units: DataFrame, status: str) -> None:
-        """Add one event per unit; `units` has unit_key, row_count."""
+        """Add one event per unit; `units` has unit_key, row_count and perhaps records_failed."""
+        failed = F.col("records_failed") if "records_failed" in units.columns else F.lit(None)
         units.select(
             F.lit(time.time_ns()).alias("seq"),
             "unit_key",
             F.lit(status).alias("status"),
             F.col("row_count").alias("records_read"),
-            F.lit(0).cast("bigint").alias("records_failed"),
+            F.coalesce(failed, F.lit(0)).cast("bigint").alias("records_failed"),
         ).write.mode("append").json(self._dir(job_name, processing_date))
 
     def exists(self, job_name: str, processing_date: str) -> bool:

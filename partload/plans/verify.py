@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from partload import jobs
-from partload.operators import reconcile, units
+from partload.operators import loading, reconcile, retention, units
 from partload.operators.audit import AuditLog, file_sink
 from partload.operators.state import WRITTEN, StateTable
 from partload.plans.inputs import (
@@ -19,8 +20,10 @@ from partload.plans.inputs import (
     orders_job,
     table,
 )
-from partload.sources import storage
-from partload.spec import PartitionColumn
+from partload.sources import catalog, storage
+from partload.spec import ErrorLimit, PartitionColumn, RunSetting
+
+EXPIRY_DAY = dt.date(2024, 1, 31)
 
 
 def _target(spark, job, tables):
@@ -96,20 +99,132 @@ def reported_vs_recounted(spark, sf_dir):
 
 
 def replace_date(spark, sf_dir):
-    """A rerun after values vanished from the source, without and with clearing the whole date."""
+    """A rerun after values vanished from the source, without and with clearing the whole date, and
+    a run after all of them vanished."""
     job, tables = orders_job(spark), order_tables(spark, sf_dir)
     later = {t: df.where(F.col(MONTH) >= 199601) for t, df in tables.items()}
+    emptied = {t: df.where("o_orderkey < 0") for t, df in tables.items()}
+
+    def verdict(name, some):
+        return storage.materialise(
+            reconcile.verdict(
+                reconcile.source_counts(some, [MONTH]),
+                reconcile.partition_counts(_target(spark, job, tables), [MONTH]),
+            ).withColumn("rerun", F.lit(name)),
+            "verdict",
+        )
+
     out = None
-    for whole in (False, True):
+    for name, whole in (("kept", False), ("replaced", True)):
         jobs.load(job, tables, DATE)
         jobs.load(job, later, DATE, whole_date=whole)
-        row = storage.materialise(
-            reconcile.verdict(
-                reconcile.source_counts(later, [MONTH]),
-                reconcile.partition_counts(_target(spark, job, later), [MONTH]),
-            ).withColumn("replace_date", F.lit(whole)),
-            "verdict",
+        row = verdict(name, later)
+        out = row if out is None else out.unionByName(row)
+    audit = AuditLog([file_sink(spark, f"{storage.scratch_dir(spark)}/audit")])
+    jobs.run(spark, replace(job, replace_date=True), DATE, audit, tables=emptied)
+    return out.unionByName(verdict("emptied", emptied))
+
+
+def resume_text_keys(spark, sf_dir):
+    """Lineitem by two text columns whose values coincide once joined by `_`: the first part is
+    written, then a run resumes with the rest."""
+    first, second = F.col("l_returnflag"), F.col("l_linestatus")
+    lineitem = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.when(second == "O", F.concat(first, F.lit("_x"))).otherwise(first).alias("left_key"),
+        F.when(second == "O", F.lit("y")).otherwise(F.lit("x_y")).alias("right_key"),
+    )
+    base = orders_job(spark)
+    job = replace(
+        base,
+        source=replace(base.source, load_tables=("lineitem",), columns=tuple(lineitem.columns)),
+        target=replace(
+            base.target,
+            partitions=(PartitionColumn("left_key", True), PartitionColumn("right_key", True)),
+        ),
+    )
+    tables = {"lineitem": lineitem}
+    folder = storage.scratch_dir(spark)
+    audit = AuditLog([file_sink(spark, f"{folder}/audit")])
+    state = StateTable(spark, f"{folder}/state")
+    planned = storage.materialise(jobs.plan(job, tables, DATE), "units")
+    jobs.load(
+        job, tables, DATE, storage.materialise(planned.where("right_key = 'y'"), "first"),
+        after_batch=lambda done: state.append(job.table_name, DATE, done, WRITTEN),
+    )
+    jobs.run(spark, job, DATE, audit, state, tables)
+    row = audit.read().first()
+    return _target(spark, job, tables).groupBy("left_key", "right_key").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.lit(row.status).alias("status"),
+        F.lit(row.reported_count).cast("bigint").alias("reported_count"),
+    )
+
+
+def load_with_bad_rows(spark, sf_dir):
+    """Orders whose price is no number for one status, with an error limit above and one below
+    the number of such rows: outcome, both counts and the rows left out."""
+    tables = order_tables(spark, sf_dir)
+    price = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    tables["lt1"] = tables["lt1"].withColumn("o_totalprice", price)
+    bad = tables["lt1"].where("o_totalprice = 'n/a'").count()
+    out = None
+    for name, limit in (("above", bad), ("below", bad - 1)):
+        job = orders_job(spark, setting=RunSetting(error_limit=ErrorLimit(record=limit)))
+        folder = storage.scratch_dir(spark)
+        audit = AuditLog([file_sink(spark, f"{folder}/audit")])
+        jobs.run_all(spark, [job], DATE, audit, StateTable(spark, f"{folder}/state"), {job.table_name: tables})
+        row = audit.read().select(
+            F.lit(name).alias("error_limit"), "status", "source_row_count", "target_row_count",
+            F.regexp_extract("error_detail", "([0-9]+) (of|rows)", 1).cast("bigint").alias("failed_rows"),
         )
+        row = storage.materialise(row, "outcome")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def expire_registered(spark, sf_dir):
+    """Events of a registered table by day: dates, rows and registered partitions left after the old
+    ones expired, and after a run whose metadata step fails."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    base, out = orders_job(spark), None
+    for name in ("expired", "metadata_failed"):
+        job = replace(
+            base,
+            retention_days=10,
+            source=replace(base.source, load_tables=("events",), columns=("event_id", "value")),
+            target=replace(
+                base.target, table=f"events_{uuid.uuid4().hex[:12]}", base_dir=f"events_{name}", partitions=()
+            ),
+        )
+        written = events.select("event_id", "value", F.col("day").alias("processing_date"))
+        loading.write_target(loading.arrange(written, ["processing_date"]), job.target.location)
+        jobs.create_target(spark, job, {"events": events})
+        full_name = job.target.full_name
+        try:
+            catalog.repair_table(spark, full_name)
+            if name == "expired":
+                _, summary = jobs.expire(spark, job, EXPIRY_DAY, dry_run=False)
+            else:
+                listed = storage.list_dated_partitions(spark, job.target.location)
+                planned = retention.retention_plan(listed, EXPIRY_DAY, job.retention_days)
+                done = retention.apply_retention(spark, planned, "no_such_table", dry_run=False)
+                summary = retention.retention_summary(
+                    planned.join(done.select("partition_date", "error"), "partition_date", "left")
+                )
+            schema = spark.table(catalog.ident(full_name)).schema
+            left = loading.read_target(spark, job.target.location, "parquet", schema).agg(
+                F.count(F.lit(1)).alias("rows_left"), F.countDistinct("processing_date").alias("dates_left")
+            ).first()
+            row = summary.select(
+                F.lit(name).alias("run"), "kept_count", "expired_count", "had_errors",
+                F.lit(left.rows_left).cast("bigint").alias("rows_left"),
+                F.lit(left.dates_left).cast("bigint").alias("dates_left"),
+                F.lit(catalog.show_partitions(spark, full_name).count()).cast("bigint").alias("registered"),
+            )
+            row = storage.materialise(row, "expired")
+        finally:
+            catalog.drop_table(spark, full_name)
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -198,6 +313,9 @@ QUERIES = {
     "run_jobs": run_jobs,
     "incremental_run": incremental_run,
     "expire_job": expire_job,
+    "resume_text_keys": resume_text_keys,
+    "load_with_bad_rows": load_with_bad_rows,
+    "expire_registered": expire_registered,
 }
 
 _JOB_ROW = """
@@ -235,10 +353,35 @@ FROM orders""",
 WITH counted AS (
   SELECT count(*) AS everything, count(*) FILTER (WHERE year(o_orderdate) >= 1996) AS later FROM orders
 )
-SELECT later AS source_count, CASE WHEN whole THEN later ELSE everything END AS target_count,
-       CASE WHEN whole OR later = everything THEN 'success' ELSE 'dq_mismatch' END AS status,
-       whole AS replace_date
-FROM counted, (VALUES (false), (true)) v(whole)""",
+SELECT later AS source_count, CASE rerun WHEN 'kept' THEN everything ELSE later END AS target_count,
+       CASE WHEN rerun = 'kept' AND later < everything THEN 'dq_mismatch' ELSE 'success' END AS status,
+       rerun
+FROM counted, (VALUES ('kept'), ('replaced')) v(rerun)
+UNION ALL SELECT 0, 0, 'success', 'emptied'""",
+    "resume_text_keys": """
+SELECT CASE l_linestatus WHEN 'O' THEN l_returnflag || '_x' ELSE l_returnflag END AS left_key,
+       CASE l_linestatus WHEN 'O' THEN 'y' ELSE 'x_y' END AS right_key,
+       count(*) AS row_count, 'success' AS status,
+       (SELECT count(*) FROM lineitem) AS reported_count
+FROM lineitem GROUP BY ALL""",
+    "load_with_bad_rows": """
+WITH counted AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 2 = 0 AND o_orderstatus = 'P') AS bad FROM orders
+)
+SELECT 'above' AS error_limit, 'dq_mismatch' AS status, n AS source_row_count,
+       n - bad AS target_row_count, bad AS failed_rows FROM counted
+UNION ALL SELECT 'below', 'failed', NULL, NULL, bad FROM counted""",
+    "expire_registered": f"""
+WITH days AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1),
+s AS (
+  SELECT count(*) FILTER (WHERE day > DATE '{EXPIRY_DAY}' - 10) AS kept_count,
+         count(*) FILTER (WHERE day <= DATE '{EXPIRY_DAY}' - 10) AS expired_count,
+         CAST(sum(n) FILTER (WHERE day > DATE '{EXPIRY_DAY}' - 10) AS BIGINT) AS rows_left, count(*) AS every
+  FROM days
+)
+SELECT run, kept_count, expired_count, run = 'metadata_failed' AS had_errors, rows_left,
+       kept_count AS dates_left, CASE run WHEN 'expired' THEN kept_count ELSE every END AS registered
+FROM s, (VALUES ('expired'), ('metadata_failed')) v(run)""",
     "run_jobs": " UNION ALL ".join(
         _JOB_ROW.format(name=n) for n in ("orders", "lineitem", "customer")
     ),
