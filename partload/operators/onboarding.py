@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partload.functions.text import has_dynamic_partition
 from partload.operators import schema as schemas
+from partload.sources import rows
 from partload.spec import DATE_COLUMN
 
 # The export method of a moved table, and the one assumed when none is given.
@@ -127,9 +128,13 @@ def draft_job(
 
 
 def compare_lists(declared: Sequence[str], real: Sequence[str]) -> str:
-    a, b = [c.upper() for c in declared], [c.upper() for c in real]
-    if not a:
+    """same, other_order, different_set, or none if nothing is declared; see column_list_verdict."""
+    if not declared:
         return "none"
-    if a == b:
-        return "same"
-    return "other_order" if sorted(a) == sorted(b) else "different_set"
+    spark = SparkSession.active()
+
+    def listed(names: Sequence[str]) -> DataFrame:
+        return rows.few_rows(spark, "column_name string, ordinal int", list(zip(names, range(len(names)))))
+
+    checked = schemas.column_order_check(listed(declared), listed(real))
+    return schemas.column_list_verdict(checked).first().verdict

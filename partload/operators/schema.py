@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partload.functions import casts
 from partload.functions.text import empty_to_null, norm_name
+from partload.sources import rows
 
 # The type codes of source column metadata, by family.
 DECIMAL_CODES = ("D", "F", "N")
@@ -40,6 +41,16 @@ class ResolvedColumn:
         return self.target_type.simpleString()
 
 
+# Families in order of precedence, each with those it takes.
+_PRECEDENCE = {
+    "decimal": {"decimal", "integer", "char"},
+    "date": {"date", "timestamp", "integer", "char"},
+    "timestamp": {"timestamp", "integer", "char"},
+    "integer": {"integer"},
+    "char": {"char"},
+}
+
+
 def _family(field: T.StructField) -> str:
     kind = field.dataType
     if isinstance(kind, (T.DecimalType, T.FloatType, T.DoubleType)):
@@ -107,9 +118,8 @@ def unify(
 ) -> list[ResolvedColumn]:
     """Resolve every column over all source tables, in the order and spelling of `columns`.
 
-    Precedence: any decimal, else any date, else any timestamp, else all integer, else all char.
-    Other mixes raise, as does a column some table does not have. With `strict` text may not mix
-    with decimal, date or timestamp.
+    The first family of the precedence that occurs decides. Mixes it does not take raise, as does a
+    column some table does not have. With `strict` text may not mix with decimal, date or timestamp.
     """
     fields: dict[str, list[tuple[str, T.StructField]]] = {}
     for table, schema in schemas.items():
@@ -126,17 +136,8 @@ def unify(
         shown = sorted({k.simpleString() for k in kinds})
         if "unsupported" in families:
             raise ValueError(f"column {column}: unsupported type among {shown}")
-        if "decimal" in families:
-            family = "decimal"
-            if families & {"date", "timestamp"}:
-                raise ValueError(f"column {column}: no number holds {shown}")
-        elif "date" in families:
-            family = "date"
-        elif "timestamp" in families:
-            family = "timestamp"
-        elif families in ({"integer"}, {"char"}):
-            (family,) = families
-        else:
+        family = next(f for f in _PRECEDENCE if f in families)
+        if not families <= _PRECEDENCE[family]:
             raise ValueError(f"column {column}: mixed types {shown}")
         if strict and "char" in families and family != "char":
             raise ValueError(f"column {column}: text mixed with {family} in {shown}")
@@ -246,76 +247,91 @@ _CODE_OF_TYPE = {
     "date": "DA",
     "timestamp": "SZ",
     "timestamp_ntz": "TS",
-    "string": "CV",
 }
 
 
-def type_code(data_type: T.DataType) -> str:
-    if isinstance(data_type, T.DecimalType):
+def type_code(field: T.StructField) -> str:
+    if isinstance(field.dataType, T.DecimalType):
         return "D"
-    if isinstance(data_type, T.CharType):
+    if declared(field)[0] == "char":
         return "CF"
-    return _CODE_OF_TYPE.get(data_type.simpleString(), "OTHER")
+    if isinstance(field.dataType, (T.StringType, T.VarcharType)):
+        return "CV"
+    return _CODE_OF_TYPE.get(field.dataType.simpleString(), "OTHER")
 
 
-def column_metadata(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Measured column metadata: one row per table and column.
+def column_metadata(spark: SparkSession, schemas: Mapping[str, T.StructType]) -> DataFrame:
+    """Declared column metadata: one row per table and column. Reads no data.
 
-    Columns: table_name, column_name, column_type, column_length (longest text met, 0 for
-    non-text), value_count (non-NULL values), ordinal. Each table is read once and reduced to a
-    single row before it is turned into rows per column.
+    Columns: table_name, column_name, column_type, column_length (declared, NULL where there is
+    none), ordinal.
     """
-    frames = []
-    for table, df in tables.items():
-        measures = []
-        for i, f in enumerate(df.schema.fields):
-            c = F.col(f"`{f.name}`")
-            is_text = isinstance(f.dataType, T.StringType)
-            longest = F.coalesce(F.max(F.length(c)), F.lit(0)) if is_text else F.lit(0)
-            measures.append(
-                F.struct(
-                    F.lit(f.name).alias("column_name"),
-                    F.lit(type_code(f.dataType)).alias("column_type"),
-                    longest.cast("int").alias("column_length"),
-                    F.count(c).alias("value_count"),
-                    F.lit(i + 1).alias("ordinal"),
-                )
+    found = [
+        (table, f.name, type_code(f), declared(f)[1], i + 1)
+        for table, schema in schemas.items()
+        for i, f in enumerate(schema.fields)
+    ]
+    return rows.few_rows(
+        spark,
+        "table_name string, column_name string, column_type string, column_length int, ordinal int",
+        found,
+    )
+
+
+def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Measured: (column_name, longest, value_count) of some columns, which alone are read.
+
+    longest is the longest text met, 0 for other types; value_count counts non-NULL values.
+    """
+    measures = []
+    for name in columns:
+        c = F.col(f"`{name}`")
+        is_text = isinstance(df.schema[name].dataType, T.StringType)
+        longest = F.coalesce(F.max(F.length(c)), F.lit(0)) if is_text else F.lit(0)
+        measures.append(
+            F.struct(
+                F.lit(name).alias("column_name"), longest.cast("int").alias("longest"),
+                F.count(c).alias("value_count"),
             )
-        row = df.agg(F.array(*measures).alias("m"))
-        frames.append(row.select(F.lit(table).alias("table_name"), F.inline("m")))
-    return reduce(DataFrame.unionByName, frames)
+        )
+    return df.agg(F.array(*measures).alias("m")).select(F.inline("m"))
 
 
 def resolve_metadata(metadata: DataFrame, requested: DataFrame) -> DataFrame:
     """Resolved type of each requested name over the tables of `metadata`.
 
     `requested` holds column_name. Result: column_name (as requested), resolved_type, needs_cast,
-    max_length, table_count. A type set outside the precedence has resolved_type NULL.
+    max_length, table_count, missing. The rule is that of `unify`; what it refuses has a NULL
+    resolved_type. A name no table has is kept and marked missing.
     """
     code = F.trim("column_type")
-
-    def any_of(codes):
-        return F.bool_or(code.isin(*codes))
-
-    def all_of(codes):
-        return F.bool_and(code.isin(*codes))
-
+    family = F.when(code.isin(*DECIMAL_CODES), "decimal").when(code.isin(*DATE_CODES), "date")
+    family = family.when(code.isin(*TIMESTAMP_CODES), "timestamp")
+    family = family.when(code.isin(*INTEGER_CODES), "integer").when(code.isin(*CHAR_CODES), "char")
+    families = F.collect_set(family.otherwise("unsupported"))
     length = F.greatest(F.coalesce(F.max("column_length"), F.lit(1)), F.lit(1))
-    kind = (
-        F.when(any_of(DECIMAL_CODES), "DOUBLE")
-        .when(any_of(DATE_CODES), "VARCHAR(10)")
-        .when(any_of(TIMESTAMP_CODES), "VARCHAR(26)")
-        .when(all_of(INTEGER_CODES), "BIGINT")
-        .when(all_of(CHAR_CODES), F.concat(F.lit("VARCHAR("), length.cast("string"), F.lit(")")))
-    )
+    types = {
+        "decimal": F.lit("DOUBLE"),
+        "date": F.lit("VARCHAR(10)"),
+        "timestamp": F.lit("VARCHAR(26)"),
+        "integer": F.lit("BIGINT"),
+        "char": F.concat(F.lit("VARCHAR("), length.cast("string"), F.lit(")")),
+    }
+    kind = F.lit(None).cast("string")
+    for name in reversed(_PRECEDENCE):
+        taken = F.array(*[F.lit(f) for f in sorted(_PRECEDENCE[name])])
+        allowed = F.when(F.size(F.array_except(families, taken)) == 0, types[name])
+        kind = F.when(F.array_contains(families, name), allowed).otherwise(kind)
+    plain = F.bool_and(code.isin(*INTEGER_CODES)) | F.bool_and(code.isin("CV"))
     resolved = metadata.groupBy(norm_name(F.col("column_name")).alias("_key")).agg(
         kind.alias("resolved_type"),
-        (~(all_of(INTEGER_CODES) | all_of(("CV",)))).alias("needs_cast"),
+        (~plain).alias("needs_cast"),
         F.max("column_length").alias("max_length"),
         F.countDistinct("table_name").alias("table_count"),
     )
     wanted = requested.select("column_name", norm_name(F.col("column_name")).alias("_key"))
-    return wanted.join(resolved, "_key").drop("_key")
+    joined = wanted.join(resolved, "_key", "left")
+    return joined.withColumn("missing", F.col("table_count").isNull()).drop("_key")
 
 
 def missing_columns(metadata: DataFrame, requested: DataFrame) -> DataFrame:

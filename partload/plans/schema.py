@@ -6,26 +6,46 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from partload.operators import schema as schemas
+from partload.operators import units
 from partload.plans.inputs import ORDER_COLUMNS, order_tables, table
 from partload.sources import rows
 
 
+def _declared(df, **lengths):
+    """The frame with declared text types, as a catalog table has them."""
+    return df.withColumns(
+        {c: F.col(c).alias(c, metadata={"__CHAR_VARCHAR_TYPE_STRING": t}) for c, t in lengths.items()}
+    )
+
+
+def _declared_tables(spark, sf_dir):
+    tables = order_tables(spark, sf_dir, mixed_types=True)
+    first = _declared(tables["lt1"], o_orderstatus="varchar(3)", o_orderpriority="char(20)")
+    return {"lt1": first, "lt2": _declared(tables["lt2"], o_orderstatus="varchar(7)", o_orderpriority="varchar(15)")}
+
+
 def schema_resolve(spark, sf_dir):
-    """Resolved type of every order column over two load tables that declare it differently."""
-    metadata = schemas.column_metadata(order_tables(spark, sf_dir, mixed_types=True))
-    requested = rows.few_rows(spark, "column_name string", [(c,) for c in ORDER_COLUMNS])
-    return schemas.resolve_metadata(metadata, requested)
+    """Resolved type of every order column, and of one nobody has, over two load tables that declare
+    them differently, beside the longest text and the number of values found."""
+    tables = _declared_tables(spark, sf_dir)
+    metadata = schemas.column_metadata(spark, {t: df.schema for t, df in tables.items()})
+    asked = [(c,) for c in (*ORDER_COLUMNS, "o_shipmode")]
+    resolved = schemas.resolve_metadata(metadata, rows.few_rows(spark, "column_name string", asked))
+    orders = table(spark, sf_dir, "orders")
+    measured = schemas.profile_columns(orders, [c for c in ORDER_COLUMNS if c in orders.columns])
+    return resolved.join(measured, "column_name", "left")
 
 
 def missing_columns(spark, sf_dir):
-    """Columns asked of each load table that it does not have, or holds no value of."""
+    """Columns asked of each load table that it does not have, by the number of its rows."""
     tables = order_tables(spark, sf_dir, mixed_types=True)
     tables = {"lt1": tables["lt1"].drop("o_custkey"), "lt2": tables["lt2"]}
-    metadata = schemas.column_metadata(tables).where(F.col("value_count") > 0)
+    metadata = schemas.column_metadata(spark, {t: df.schema for t, df in tables.items()})
     asked = ("o_shipmode", " O_ORDERKEY", *ORDER_COLUMNS)
     pairs = [(t, c) for t in tables for c in asked]
     requested = rows.few_rows(spark, "table_name string, column_name string", pairs)
-    return schemas.missing_columns(metadata, requested)
+    counts = units.unit_counts(tables, []).select(F.col("load_table").alias("table_name"), "row_count")
+    return schemas.missing_columns(metadata, requested).join(counts, "table_name")
 
 
 def cast_canonical(spark, sf_dir):
@@ -85,21 +105,16 @@ QUERIES = {
     "column_list_verdict": column_list_verdict,
 }
 
-_PROFILE = """
+def _resolved(name, kind, cast="false", length="NULL", text=False, measured=True):
+    longest = f"coalesce(max(length({name})), 0)" if text else "0"
+    return f"""
 SELECT '{name}' AS column_name, {kind} AS resolved_type, {cast} AS needs_cast,
-       CAST({length} AS INTEGER) AS max_length, CAST(2 AS BIGINT) AS table_count
+       CAST({length} AS INTEGER) AS max_length, CAST(2 AS BIGINT) AS table_count, false AS missing,
+       CAST({longest if measured else 'NULL'} AS INTEGER) AS longest,
+       {f'count({name})' if measured else 'nullif(count(*), count(*))'} AS value_count
 FROM orders"""
 
 
-def _profile(name, kind, cast="false", length="0"):
-    return _PROFILE.format(name=name, kind=kind, cast=cast, length=f"coalesce(max({length}), 0)")
-
-
-def _text_profile(name):
-    length = f"length({name})"
-    return _profile(name, f"'VARCHAR(' || greatest(coalesce(max({length}), 1), 1) || ')'", length=length)
-
-
 _LISTS = """
 WITH first AS (
   SELECT user_id, CASE WHEN day(ts) <= 15 THEN 'declared' ELSE 'real' END AS half, event_type,
@@ -120,19 +135,23 @@ WITH first AS (
 ORACLES = {
     "schema_resolve": " UNION ALL ".join(
         [
-            _profile("o_orderkey", "'BIGINT'"),
-            _profile("o_custkey", "'BIGINT'"),
-            _text_profile("o_orderstatus"),
-            _profile("o_totalprice", "'DOUBLE'", "true"),
-            _profile("o_orderdate", "'VARCHAR(10)'", "true"),
-            _text_profile("o_orderpriority"),
-            _profile("order_month", "'BIGINT'"),
+            _resolved("o_orderkey", "'BIGINT'"),
+            _resolved("o_custkey", "'BIGINT'"),
+            _resolved("o_orderstatus", "'VARCHAR(7)'", length="7", text=True),
+            _resolved("o_totalprice", "'DOUBLE'", "true"),
+            _resolved("o_orderdate", "'VARCHAR(10)'", "true"),
+            _resolved("o_orderpriority", "'VARCHAR(20)'", "true", length="20", text=True),
+            _resolved("order_month", "'BIGINT'", measured=False),
         ]
-    ),
+    )
+    + """ UNION ALL SELECT 'o_shipmode', NULL, NULL, NULL, NULL, true, NULL, NULL""",
     "missing_columns": """
-SELECT table_name, column_name
-FROM (SELECT DISTINCT CASE WHEN o_orderkey % 2 = 0 THEN 'lt1' ELSE 'lt2' END AS table_name FROM orders) t,
-     (VALUES ('o_shipmode', 'both'), ('o_custkey', 'lt1')) v(column_name, missing_in)
+WITH t AS (
+  SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'lt1' ELSE 'lt2' END AS table_name, count(*) AS row_count
+  FROM orders GROUP BY 1
+)
+SELECT table_name, column_name, row_count
+FROM t, (VALUES ('o_shipmode', 'both'), ('o_custkey', 'lt1')) v(column_name, missing_in)
 WHERE missing_in IN ('both', table_name)""",
     "cast_canonical": """
 SELECT o_orderkey, o_custkey, CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS DOUBLE) AS o_totalprice,

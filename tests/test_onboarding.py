@@ -67,7 +67,7 @@ def test_no_source_raises():
     "declared,verdict",
     [([], "none"), (["A", "b"], "same"), (["b", "a"], "other_order"), (["a"], "different_set")],
 )
-def test_compare_lists(declared, verdict):
+def test_compare_lists(spark, declared, verdict):
     assert onboarding.compare_lists(declared, ["a", "b"]) == verdict
 
 

@@ -166,21 +166,34 @@ def test_resolve_metadata(spark):
             ("t1", "z", "CV", None),
             ("t1", "bad", "I", 4), ("t2", "bad", "CV", 4),
             ("t1", "blob", "BO", 4),
+            ("t1", "mixed", "D", 4), ("t2", "mixed", "DA", 4),
         ],
     )
     asked = spark.createDataFrame(
-        [(c,) for c in ("Amount", "day", "at", "n", "s", "v", "z", "bad", "blob", "absent")], "column_name string"
+        [(c,) for c in ("Amount", "day", "at", "n", "s", "v", "z", "bad", "blob", "absent", "mixed")], "column_name string"
     )
     got = {r.column_name: (r.resolved_type, r.needs_cast) for r in schemas.resolve_metadata(meta, asked).collect()}
     assert got == {
         "Amount": ("DOUBLE", True), "day": ("VARCHAR(10)", True), "at": ("VARCHAR(26)", True),
         "n": ("BIGINT", False), "s": ("VARCHAR(30)", True), "v": ("VARCHAR(5)", False),
-        "z": ("VARCHAR(1)", False), "bad": (None, True), "blob": (None, True),
+        "z": ("VARCHAR(1)", False), "bad": (None, True), "blob": (None, True), "absent": (None, None),
+        "mixed": (None, True),
     }
+    rows = schemas.resolve_metadata(meta, asked).where("missing").collect()
+    assert [r.column_name for r in rows] == ["absent"]
     missing = schemas.missing_columns(meta, asked)
     assert [r.column_name for r in missing.collect()] == ["absent"]
 
 
+def test_metadata_reads_no_data(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    found = schemas.column_metadata(spark, {"orders": orders.schema})
+    assert "Scan parquet" not in found._jdf.queryExecution().toString()
+    assert {r.column_name for r in found.collect()} == set(orders.columns)
+    profile = schemas.profile_columns(orders, ["o_orderstatus"])
+    assert "ReadSchema: struct<o_orderstatus:string>" in profile._jdf.queryExecution().toString()
+
+
 def lists(spark, names):
     return spark.createDataFrame([(n, i) for i, n in enumerate(names)], "column_name string, ordinal int")
 
