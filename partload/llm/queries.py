@@ -80,6 +80,69 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
+    "op1_linked_quotations": r"""
+        WITH RECURSIVE m AS (
+            SELECT row_number() OVER (
+                ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, coalesce(text, '')) AS place,
+                conv_id, turn, role, replace(coalesce(text, ''), chr(13), '') AS text
+            FROM conversations
+        ), l AS (
+            SELECT place, conv_id, i, raw,
+                length(regexp_replace(regexp_extract(raw, '^[ \t]*((?:>[ \t]*)+)', 1), '[^>]', '', 'g')) AS level,
+                trim(regexp_replace(lower(regexp_replace(raw, '^[ \t]*((?:>[ \t]*)+)', '')), '\s+', ' ', 'g')) AS words
+            FROM (SELECT *, unnest(string_split(text, chr(10))) AS raw,
+                    generate_subscripts(string_split(text, chr(10)), 1) AS i FROM m)
+        ), o AS (
+            SELECT *, level = 0 AND NOT (regexp_matches(words, '(wrote|writes|said):$')
+                AND coalesce(lead(level) OVER (PARTITION BY place ORDER BY i), 0) > 0) AS own
+            FROM l
+        ), g AS (
+            SELECT *, i - row_number() OVER (PARTITION BY place, level ORDER BY i) AS run FROM l WHERE words <> ''
+        ), p AS (
+            SELECT place, conv_id, level, run, string_agg(words, ' ' ORDER BY i) AS words, count(*) AS n
+            FROM g GROUP BY ALL
+        ), offer AS (
+            SELECT conv_id, words, min(place) AS origin FROM (
+                SELECT conv_id, place, string_agg(words, ' ' ORDER BY i) AS words FROM o
+                WHERE own AND words <> '' GROUP BY conv_id, place
+                UNION ALL SELECT conv_id, place, words FROM p WHERE level = 0
+                UNION ALL SELECT conv_id, place, words FROM g WHERE level = 0
+            ) GROUP BY conv_id, words
+        ), vote AS (
+            SELECT v.place, v.level, v.run, f.origin, v.weight FROM (
+                SELECT place, conv_id, level, run, words, n AS weight FROM p WHERE level > 0
+                UNION ALL
+                SELECT g.place, g.conv_id, g.level, g.run, g.words, 1
+                FROM g JOIN p USING (place, level, run) WHERE g.level > 0 AND p.n > 1
+            ) AS v JOIN offer AS f ON f.conv_id IS NOT DISTINCT FROM v.conv_id AND f.words = v.words
+                AND f.origin < v.place
+        ), quoted AS (
+            SELECT place, max_by(origin, (votes, origin)) AS origin FROM (
+                SELECT place, origin, sum(weight) AS votes FROM vote WHERE level = 1 GROUP BY place, origin
+            ) GROUP BY place
+        ), found AS (
+            SELECT place, count(*) AS linked FROM (SELECT DISTINCT place, level, run FROM vote) GROUP BY place
+        ), reply AS (
+            SELECT m.*, coalesce(q.origin, lag(m.place) OVER (PARTITION BY conv_id ORDER BY m.place)) AS up
+            FROM m LEFT JOIN quoted AS q USING (place)
+        ), tree AS (
+            SELECT place, [place] AS path FROM reply WHERE up IS NULL
+            UNION ALL
+            SELECT r.place, list_append(t.path, r.place) FROM tree AS t JOIN reply AS r ON r.up = t.place
+        ), shape AS (
+            SELECT place, max(level)::INTEGER AS levels,
+                regexp_replace(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE own), ''),
+                    '^\s*\n|\s+$', '', 'g') AS clean
+            FROM o GROUP BY place
+        )
+        SELECT r.conv_id, r.turn, r.role, s.levels,
+            (SELECT count(*) FROM p WHERE p.place = r.place AND level > 0)::INTEGER AS passages,
+            coalesce(f.linked, 0)::INTEGER AS linked, u.turn AS reply_to,
+            row_number() OVER (PARTITION BY r.conv_id ORDER BY t.path) - 1 AS reply_index,
+            '<|' || coalesce(r.role, 'unknown') || '|>' || chr(10) || s.clean || chr(10) AS chat
+        FROM reply AS r JOIN tree AS t USING (place) JOIN shape AS s USING (place)
+            LEFT JOIN found AS f USING (place) LEFT JOIN m AS u ON u.place = r.up
+    """,
     "op4_near_embeddings": """
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
         u AS (
