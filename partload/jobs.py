@@ -200,11 +200,13 @@ def load(
     row_limit: int = 0,
     after_batch: Callable[[DataFrame], None] | None = None,
     whole_date: bool = False,
+    complete: bool = False,
 ) -> LoadResult:
     """Cast, union and write; each partition is replaced as a whole.
 
     `wanted` restricts the load to the partition values of a unit plan. With `values_per_batch`
     the values are written in groups, so that a failed load resumes at the group that failed.
+    `complete` says that the plan holds every value of the sources, so that no row needs looking up in it.
     `row_limit` caps the rows of each unit, for proof loads. `whole_date` clears the date first.
     Rows that do not fit their types are left out; after the write the job's error limit decides,
     and a load above it raises before any unit counts as written.
@@ -225,7 +227,8 @@ def load(
     size = job.setting.values_per_batch
     if wanted is None or not dynamic or not size:
         def scope(frame):
-            return capped(frame if wanted is None else restrict(frame, wanted, dynamic))
+            every = wanted is None or complete
+            return capped(frame if every else restrict(frame, wanted, dynamic))
 
         result = _write(job, tables, resolved, processing_date, scope, whole_date)
         result.check(job.setting.error_limit)
@@ -382,6 +385,7 @@ def run(
                     (lambda u: state.append(name, processing_date, u, WRITTEN)) if state else None
                 ),
                 whole_date=clear,
+                complete=todo is every,
             )
         row = reconcile_job(
             spark, job, tables, processing_date, every, result.reported + stored, start, result.failed

@@ -1,7 +1,8 @@
 """Delimited text: U+001F between fields, every field quoted, quotes doubled, line feed ends a row.
 
-Line breaks inside fields are kept, so a file is one task when read. Writers should bound file size with
-`max_records` (or fan out) to keep reads parallel.
+Line breaks inside fields are kept, so a file is one task when read, unless its producer promises that
+no field holds one (`multi_line=False`). Writers should bound file size with `max_records` (or fan
+out) to keep reads parallel.
 """
 
 from __future__ import annotations
@@ -34,9 +35,14 @@ def write_options(keep_empty: bool = False) -> dict[str, str]:
     return {**_COMMON, "quoteAll": "true", "nullValue": null, "emptyValue": ""}
 
 
-def read_options(keep_empty: bool = False) -> dict[str, str]:
-    """An empty field reads as NULL, unless `keep_empty` tells it apart from \\N."""
-    options = {**_COMMON, "multiLine": "true", "nullValue": "\\N" if keep_empty else ""}
+def read_options(keep_empty: bool = False, multi_line: bool = True) -> dict[str, str]:
+    """An empty field reads as NULL, unless `keep_empty` tells it apart from \\N.
+
+    Without `multi_line` files are split over tasks; a line break then ends a row wherever it is.
+    """
+    options = {
+        **_COMMON, "multiLine": str(multi_line).lower(), "nullValue": "\\N" if keep_empty else ""
+    }
     if keep_empty:
         options["emptyValue"] = ""
     return options
@@ -65,12 +71,13 @@ def read_delimited(
     keep_empty: bool = False,
     columns: Sequence[str] | None = None,
     base_path: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read one or many files or directories; `columns` picks and orders columns by name.
 
     A field that does not fit its type fails the read. Use `read_with_errors` to count such rows.
     """
-    reader = spark.read.schema(schema).options(**read_options(keep_empty)).option("mode", "FAILFAST")
+    reader = spark.read.schema(schema).options(**read_options(keep_empty, multi_line)).option("mode", "FAILFAST")
     if base_path:
         reader = reader.option("basePath", base_path)
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
