@@ -22,13 +22,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partload.llm.common import Words, fingerprint, mix64, running_hash, slices, span_hash, text_bytes
 from partload.sources import storage
 
 _U = np.uint64
+_MASK = (1 << 64) - 1
 
 
 @dataclass(frozen=True)
@@ -99,7 +100,7 @@ _ANCHOR_SCHEMA = "doc_id long, fp long, anchor long, run long, first int, window
 
 
 def _windows(params: RepeatParams):
-    """The hash of each window of the wanted runs, with its distance to the anchor."""
+    """Each window of the wanted runs: its distance to the anchor, and a hash of both and its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,8 +112,10 @@ def _windows(params: RepeatParams):
                     for r in runs:
                         at = np.arange(r["windows"])
                         begin = words.first[i] + r["first"] + at
-                        out["hash"].append(span_hash(prefix, begin, begin + params.window))
-                        out["offset"].append(r["seed"] - at)
+                        offset = (r["seed"] - at).astype(np.int64)
+                        place = mix64(_U(r["anchor"] & _MASK) + offset.astype(_U))
+                        out["hash"].append(mix64(span_hash(prefix, begin, begin + params.window) + place))
+                        out["offset"].append(offset)
                         out["anchor"].append(np.full(len(at), r["anchor"], np.int64))
                         out["run"].append(np.full(len(at), r["run"], np.int64))
                 if out["hash"]:
@@ -131,18 +134,27 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, params: RepeatParams) -> DataFrame:
     """(doc_id, fp, spans): the repeated word spans of the documents that have any.
 
-    A span is (start, windows): the start of a row of repeated windows, and how many there are.
+    A span is a row of consecutive repeated windows: the first word times 2**32, plus their number.
     """
     keyed = _keyed(docs)
-    anchors = storage.materialise(keyed.mapInArrow(_anchors(params), _ANCHOR_SCHEMA), "anchors")
-    classes = anchors.groupBy("anchor", "run").agg(
+    anchors = keyed.mapInArrow(_anchors(params), _ANCHOR_SCHEMA)
+    seeds = anchors.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("run").alias("_low"), F.max("run").alias("_high")
+    )
+    seeds = seeds.where("_n > 1").select("anchor", F.expr("_low <> _high").alias("several"))
+    seeds = storage.materialise(seeds, "seeds")
+    repeated = storage.materialise(anchors.join(seeds, "anchor"), "repeated")
+    # All runs of these anchors agree.
+    whole = F.array(_packed("first", "windows"))
+    alike = repeated.where("NOT several").select("doc_id", "fp", whole.alias("part"))
+
+    several = repeated.where("several")
+    classes = several.groupBy("anchor", "run").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct("doc_id", "fp", "first", "windows", "seed")).alias("one"),
     )
     classes = storage.materialise(classes, "classes")
-    seeds = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    several = classes.join(seeds, "anchor", "left_semi").select("anchor", "run", "one.*")
-    wanted = several.groupBy("doc_id", "fp").agg(
+    wanted = classes.select("anchor", "run", "one.*").groupBy("doc_id", "fp").agg(
         F.collect_list(F.struct("anchor", "run", "first", "windows", "seed")).alias("runs")
     )
     # Rows that repeat one document give the same windows; a window counts once for each class.
@@ -150,36 +162,37 @@ def repeats(docs: DataFrame, params: RepeatParams) -> DataFrame:
         _windows(params), "anchor long, run long, offset int, hash long"
     )
     windows = storage.materialise(windows, "windows")
-    common = windows.groupBy("anchor", "offset", "hash").agg(
-        F.min("run").alias("_low"), F.max("run").alias("_high")
-    ).where("_low <> _high").select("anchor", "offset", "hash")
-    partly = windows.join(common, ["anchor", "offset", "hash"], "left_semi").groupBy(
-        "anchor", "run"
-    ).agg(F.collect_set("offset").alias("offsets"))
+    common = windows.groupBy("hash").agg(F.min("run").alias("_low"), F.max("run").alias("_high"))
+    common = common.where("_low <> _high").select("hash")
+    partly = windows.join(common, "hash", "left_semi").groupBy("anchor", "run").agg(
+        F.collect_set("offset").alias("offsets")
+    )
     decided = (
         classes.select("anchor", "run", "n")
         .join(partly, ["anchor", "run"], "left")
         .where("n > 1 OR offsets IS NOT NULL")
-        .select("anchor", "run", (F.col("n") > 1).alias("whole"), "offsets")
+        .select("anchor", "run", (F.col("n") > 1).alias("every"), "offsets")
     )
-    whole = F.array(F.struct(F.col("first").alias("start"), "windows"))
-    parts = F.transform(
-        "offsets",
-        lambda o: F.struct((F.col("first") + F.col("seed") - o).alias("start"), F.lit(1).alias("windows")),
+    parts = F.transform("offsets", lambda o: _packed(F.col("first") + F.col("seed") - o, F.lit(1)))
+    differ = several.join(decided, ["anchor", "run"]).select(
+        "doc_id", "fp", F.when(F.col("every"), whole).otherwise(parts).alias("part")
     )
     return (
-        anchors.join(decided, ["anchor", "run"])
-        .select("doc_id", "fp", F.when(F.col("whole"), whole).otherwise(parts).alias("part"))
-        .groupBy("doc_id", "fp")
-        .agg(F.array_distinct(F.flatten(F.collect_list("part"))).alias("spans"))
+        alike.union(differ).groupBy("doc_id", "fp").agg(F.flatten(F.collect_list("part")).alias("spans"))
     )
 
 
-def _covered(spans: list[dict], n_words: int, size: int) -> np.ndarray:
+def _packed(start: Column | str, windows: Column | str) -> Column:
+    start = F.col(start) if isinstance(start, str) else start
+    windows = F.col(windows) if isinstance(windows, str) else windows
+    return F.shiftleft(start.cast("long"), 32) + windows.cast("long")
+
+
+def _covered(spans: np.ndarray, n_words: int, size: int) -> np.ndarray:
     """Which words a repeated window covers."""
     edge = np.zeros(n_words + 1, dtype=np.int64)
-    start = np.array([s["start"] for s in spans], dtype=np.int64)
-    end = start + np.array([s["windows"] for s in spans], dtype=np.int64) - 1 + size
+    start = spans >> 32
+    end = start + (spans & 0xFFFFFFFF) - 1 + size
     np.add.at(edge, start, 1)
     np.add.at(edge, end, -1)
     return np.cumsum(edge[:-1]) > 0
@@ -193,10 +206,11 @@ def _cut(params: RepeatParams):
                 words = Words(data, offsets)
                 raw = data.tobytes()
                 kept, removed, maximal = [], [], []
-                for i, spans in enumerate(part.column("spans").to_pylist()):
+                for i, found in enumerate(part.column("spans")):
+                    spans = found.values.to_numpy() if found.is_valid else np.zeros(0, np.int64)
                     a, b = words.first[i], words.first[i + 1]
                     start, end = words.start[a:b], words.end[a:b]
-                    out = _covered(spans or [], b - a, params.window)
+                    out = _covered(spans, b - a, params.window)
                     edges = np.flatnonzero(np.diff(np.concatenate([[0], out.astype(np.int8), [0]])))
                     maximal.append([{"start": s, "end": e} for s, e in edges.reshape(-1, 2).tolist()])
                     removed.append(int(out.sum()))
