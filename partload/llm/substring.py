@@ -173,6 +173,8 @@ def repeats(docs: DataFrame, params: RepeatParams) -> DataFrame:
         .where("n > 1 OR offsets IS NOT NULL")
         .select("anchor", "run", (F.col("n") > 1).alias("every"), "offsets")
     )
+    # Written, so that the join below is between two exchanges and AQE can split a hot passage.
+    decided = storage.materialise(decided, "decided")
     parts = F.transform("offsets", lambda o: _packed(F.col("first") + F.col("seed") - o, F.lit(1)))
     differ = several.join(decided, ["anchor", "run"]).select(
         "doc_id", "fp", F.when(F.col("every"), whole).otherwise(parts).alias("part")
