@@ -132,14 +132,27 @@ def _tested(params: NearParams):
     return run
 
 
+def _short(shingles: np.ndarray) -> bytes:
+    """The upper 40 bits of each shingle. Two that differ, one of each of two sets of a thousand,
+    coincide there with a probability of one in a million."""
+    upper = np.unique(shingles >> _U(24)).astype(">u8")
+    return upper.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), dtype=np.uint8)
+    out[:, 3:] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 5)
+    return out.view(">u8").reshape(-1).astype(_U)
+
+
 def _sets(params: NearParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(*text_bytes(part.column("text")), lower=params.lower)
-                sets = [s.view(np.int64) for s in shingle_sets(words, params.shingle)]
+                sets = [_short(s) for s in shingle_sets(words, params.shingle)]
                 yield pa.record_batch(
-                    {"rep": part.column("doc_id"), "shingles": pa.array(sets, pa.list_(pa.int64()))}
+                    {"rep": part.column("doc_id"), "shingles": pa.array(sets, pa.binary())}
                 )
 
     return run
@@ -188,16 +201,23 @@ def _between(params: NearParams):
         block = table.column("block").to_numpy()
         left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
         rep, component = table.column("rep").to_numpy(), table.column("component").to_numpy()
-        sets = [x.values.to_numpy() for x in table.column("shingles")]
-        both = _common([sets[i] for i in left], [sets[i] for i in right])
+        sets = [_long(x) for x in table.column("shingles").to_pylist()]
         size = np.array([len(x) for x in sets])
-        union = size[left][:, None] + size[right][None, :] - both
-        good = (100 * both >= params.percent * union) & (
-            component[left][:, None] != component[right][None, :]
-        )
-        i, j = np.nonzero(good)
-        _, first = np.unique(np.stack([i, component[right[j]]]), axis=1, return_index=True)
-        return pa.table({"a": rep[left[i[first]]], "b": rep[right[j[first]]]})
+        # Most members are of one component mostly, and need no comparison with each other.
+        names, n = np.unique(component, return_counts=True)
+        main = component == names[np.argmax(n)]
+        found = []
+        for a, b in ((left[~main[left]], right), (left[main[left]], right[~main[right]])):
+            if not len(a) or not len(b):
+                continue
+            both = _common([sets[i] for i in a], [sets[i] for i in b])
+            union = size[a][:, None] + size[b][None, :] - both
+            differ = component[a][:, None] != component[b][None, :]
+            i, j = np.nonzero((100 * both >= params.percent * union) & differ)
+            _, first = np.unique(np.stack([i, component[b[j]]]), axis=1, return_index=True)
+            found.append(np.stack([rep[a[i[first]]], rep[b[j[first]]]]))
+        out = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+        return pa.table({"a": out[0], "b": out[1]})
 
     return run
 
@@ -210,7 +230,7 @@ def open_links(docs: DataFrame, entries: DataFrame, params: NearParams) -> DataF
     """
     wanted = entries.select(F.col("rep").alias("doc_id")).distinct()
     sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _sets(params), "rep long, shingles array<long>"
+        _sets(params), "rep long, shingles binary"
     )
     sets = storage.materialise(sets, "sets").distinct()
     block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
@@ -250,7 +270,10 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
         "sketches",
     )
     named = sketched.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    classes = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    # Written, so that joins with it are between two exchanges and AQE can split a hot class.
+    classes = storage.materialise(
+        named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes"
+    )
     member = named.join(classes, "digest").select("doc_id", "rep").distinct()
     entries = (
         named.join(classes, [named.digest == classes.digest, named.doc_id == classes.rep])
