@@ -127,15 +127,16 @@ def fingerprint_text(keys: str, params: SketchParams) -> Column:
 
 
 def fingerprints(docs: DataFrame, params: SketchParams = SketchParams()) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_id).
 
     The edited text is the text with its last floor(n_chars / 2) characters replaced by the first as
     many (or all) of the next document, by ascending doc_id; after the last comes the first. Rows
     of one doc_id follow each other by a hash of the text, null ids come first. Null text is
     empty. Other columns are not looked at.
 
-    The order is found on ids and lengths alone. Texts are dealt by id once; of each text only what
-    the document before it takes over, and its digests, move a second time.
+    The order is found on ids and lengths alone. Texts are dealt by id once: both sides of the last join
+    ask for the same columns of docs (the id as next_id), so that they read one exchange. Of each
+    text only what the document before it takes over, and its digests, move a second time.
     """
     rows = docs.select(
         F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "doc_id", F.coalesce("text", F.lit("")).alias("text"),
@@ -159,11 +160,13 @@ def fingerprints(docs: DataFrame, params: SketchParams = SketchParams()) -> Data
     given = texts.select(
         "for_id", "for_fp", F.expr("left(text, wanted)").alias("given"),
         F.col("keys").alias("next_keys"), F.lit(1).cast("long").alias("copies"),
+        F.col("doc_id").alias("next_id"),
     )
     itself = texts.where("times > 1").select(
         F.col("id").alias("for_id"), F.col("fp").alias("for_fp"),
         F.expr("left(text, cast(floor(length(text) / 2) AS int))").alias("given"),
         F.col("keys").alias("next_keys"), (F.col("times") - 1).alias("copies"),
+        F.col("doc_id").alias("next_id"),
     )
     joined = texts.select("id", "fp", "doc_id", "text", "keys").join(
         given.union(itself), (F.col("id") == F.col("for_id")) & (F.col("fp") == F.col("for_fp"))
@@ -182,4 +185,5 @@ def fingerprints(docs: DataFrame, params: SketchParams = SketchParams()) -> Data
         fingerprint_text("edited_keys", params).alias("edited_fingerprint"),
         likeness("keys", "edited_keys", params).alias("near_edited"),
         likeness("keys", "next_keys", params).alias("near_next"),
+        "next_id",
     )
