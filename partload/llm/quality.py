@@ -5,22 +5,26 @@ them, with one model for each language, trained on all trusted documents. Charac
 of distinct n-grams low against the text, and shouting, symbol noise and broken words are what a
 model of characters finds improbable.
 
-1. One pass counts the n-grams of the trusted texts and lists the distinct n-grams of all texts, summed
-   within a task before they are shuffled.
+1. One pass lists the distinct n-grams of all texts, one counts those of the trusted texts by fold;
+   both are summed within a task before they are shuffled.
 2. The probability of every listed n-gram comes from joins of the count tables of each order, sharded
    by n-gram: discounted count over context count, and the context's remaining weight times the
    probability of the shorter n-gram.
 3. Resolved n-grams are cut into shards of bounded size. Each shard is sent to the tasks, which add up
-   the log probabilities of its n-grams in every document; the sums of the shards are added. So the
-   texts never move, and what is broadcast does not grow with the corpus.
-4. A document is rejected if its perplexity is above a quantile of the trusted documents of its
-   language.
+   the log probabilities of its n-grams in every document; the sums of the shards are added. So what is
+   broadcast does not grow with the corpus.
+4. Trusted texts are dealt to folds by a hash of the text, so exact copies share one. Each fold is also
+   scored by models without its counts, with steps 2 and 3.
+5. A document is rejected if its perplexity is above a quantile of these held-out perplexities of its
+   language. Where they are too few for the quantile, the threshold is at least the bound that
+   Student's t puts on one more of their logarithms; one alone gives no threshold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -38,17 +42,18 @@ POOLED = "*"
 
 @dataclass(frozen=True)
 class QualityParams:
-    """`quantile` of the trusted perplexities that is still accepted, and `slack` above it.
+    """`quantile` of the held-out trusted perplexities that is still accepted, and `slack` above it.
 
     Training takes all trusted documents up to about `max_trusted` (more are thinned by a hash of
     their id; this bounds the list of ids sent to the tasks). `shard` bounds the n-grams sent to
-    the tasks at once, at 16 bytes each.
+    the tasks at once, at 16 bytes each. `folds`: 2 to 10.
     """
 
     quantile: float = 0.995
     slack: float = 1.0
     max_trusted: int = 1_000_000
     shard: int = 2_000_000
+    folds: int = 5
 
 
 def _characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +91,7 @@ def _starts(bounds: np.ndarray, texts: np.ndarray) -> np.ndarray:
 
 
 class _Counter:
-    """n-grams of one model met so far in a task, with their trusted counts."""
+    """n-grams of one model met so far in a task, with their counts."""
 
     def __init__(self):
         self.parts: list[tuple] = []
@@ -131,18 +136,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             keys = _gram_keys(points)
             names = part.column("model").to_pylist()
-            trusted = np.array(part.column("trusted").to_pylist(), dtype=bool)
             for name in set(names):
                 own = np.array([x == name for x in names])
-                for kind in (True, False):
-                    places = _starts(bounds, np.flatnonzero(own & (trusted == kind)))
-                    if not len(places):
-                        continue
-                    unique, first, n = np.unique(keys[places], return_index=True, return_counts=True)
-                    at = places[first]
-                    grams = np.stack([points[at + i] for i in range(ORDER)], axis=1)
-                    n = n if kind else np.zeros(len(n), np.int64)
-                    found.setdefault(name, _Counter()).add(unique, n, grams)
+                places = _starts(bounds, np.flatnonzero(own))
+                if not len(places):
+                    continue
+                unique, first, n = np.unique(keys[places], return_index=True, return_counts=True)
+                at = places[first]
+                grams = np.stack([points[at + i] for i in range(ORDER)], axis=1)
+                found.setdefault(name, _Counter()).add(unique, n, grams)
             while sum(c.size for c in found.values()) > 4_000_000:
                 yield from emit(max(found, key=lambda name: found[name].size))
     for name in list(found):
@@ -176,12 +178,12 @@ def _discounted(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parts.select("model", "gram", (F.col("n") - F.col("d")).alias("part")), contexts
 
 
-def probabilities(grams: DataFrame) -> DataFrame:
-    """(model, gram, p) for every row of grams (model, gram, n), n being the trusted count.
+def probabilities(grams: DataFrame, counted: DataFrame) -> DataFrame:
+    """(model, gram, p) for every row of grams (model, gram), from the counts (model, gram, n).
 
-    Models without any trusted count have no probabilities and no rows here.
+    Models without any count have no probabilities and no rows here.
     """
-    known = storage.materialise(grams.where("n > 0"), "counts")
+    known = storage.materialise(counted, "counts")
     models = known.select("model").distinct()
     wanted = {ORDER: grams.join(models, "model", "left_semi").select("model", "gram")}
     counts = {ORDER: known}
@@ -295,72 +297,111 @@ def _load(rows: DataFrame) -> Shard:
     return Shard(keys, table.column("log_p").to_numpy())
 
 
-def score(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """(doc_id, fp, model, trusted, symbols, perplexity), one row for each (doc_id, text) of docs.
+def _perplexities(texts: DataFrame, by: list[str], resolved: DataFrame, params: QualityParams) -> DataFrame:
+    """(*by, model, symbols, perplexity) of texts (doc_id, fp, model, text)."""
+    sc = texts.sparkSession.sparkContext
+    shards = spread(resolved.count(), params.shard)
+    place = F.pmod(F.xxhash64("gram"), F.lit(shards))
+    sums = None
+    for i in range(shards):
+        shard = sc.broadcast(_load(resolved.where(place == i)))
+        part = texts.select("doc_id", "fp", "model", "text").mapInArrow(
+            _scored(shard), "doc_id long, fp long, model string, log_p double, symbols long"
+        )
+        sums = part if sums is None else sums.union(part)
+    # Rows that repeat a document add as often to the sum as to the count.
+    total = sums.groupBy(*by, "model").agg(
+        (F.sum("log_p") * shards / F.count(F.lit(1))).alias("log_p"), F.max("symbols").alias("symbols")
+    )
+    perplexity = F.when((F.col("symbols") > 0) & (F.col("log_p") < 0), F.exp(-F.col("log_p") / F.col("symbols")))
+    return total.select(*by, "model", F.col("symbols").cast("long").alias("symbols"), perplexity.alias("perplexity"))
+
+
+def score(
+    docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp, model, trusted, symbols, perplexity), one row for each (doc_id, text) of docs,
+    and the held-out (fp, model, symbols, perplexity), one row for each trusted text of a model.
 
     Trusted are documents labelled quality 1 and not toxic 1. A document of a language without
     trusted documents is scored by the model of all of them; null is a language of its own. Empty
     and null texts have perplexity null. Without any trusted text there is no model and every perplexity is null.
     """
-    spark = docs.sparkSession
     good = labels.where("quality = 1 AND coalesce(toxic, 0) <> 1 AND doc_id IS NOT NULL")
     good = storage.materialise(good.select("doc_id").distinct(), "trusted")
     share = min(1.0, params.max_trusted / max(1, good.count()))
     thin = good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-    thin = thin.withColumn("trusted", F.lit(True))
     rows = docs.select("doc_id", fingerprint().alias("fp"), F.coalesce("lang", F.lit("")).alias("lang"), "text")
-    marked = rows.join(F.broadcast(thin), "doc_id", "left").withColumn(
-        "trusted", F.coalesce("trusted", F.lit(False))
+    fold = F.pmod("fp", F.lit(params.folds)).cast("string")
+    trusted = storage.materialise(
+        rows.where("text <> ''").join(F.broadcast(thin), "doc_id")
+        .select("doc_id", "fp", F.col("lang").alias("model"), fold.alias("fold"), "text"),
+        "texts",
     )
     # Languages with trusted text have a model of their own.
-    has = storage.materialise(
-        marked.where("trusted AND text <> ''").select("lang").distinct().withColumn("has", F.lit(True)),
-        "languages",
-    )
+    has = trusted.select(F.col("model").alias("lang")).distinct().withColumn("has", F.lit(True))
+    has = storage.materialise(has, "languages")
     chosen = F.when(F.col("has") & (F.col("lang") != POOLED), F.col("lang")).otherwise(F.lit(POOLED))
-    marked = marked.join(has, "lang", "left").withColumn("model", chosen)
-    grams = marked.select("model", "trusted", "text").mapInArrow(
-        _counted, "model string, gram string, n long"
-    )
-    grams = storage.materialise(grams.groupBy("model", "gram").agg(F.sum("n").alias("n")), "grams")
+    marked = rows.join(has, "lang", "left").withColumn("model", chosen)
+    listed = marked.select("model", "text").mapInArrow(_counted, "model string, gram string, n long")
+    listed = storage.materialise(listed.select("model", "gram").distinct(), "grams")
+
+    # A model that does not see a fold is named by the fold's digit and the model.
+    unseen = F.concat("fold", "model").alias("model")
+    counts = trusted.select(unseen, "text").mapInArrow(_counted, "model string, gram string, n long")
+    parts = [
+        F.sum(F.when(F.expr("left(model, 1)") == str(i), F.col("n")).otherwise(0)).alias(f"fold{i}")
+        for i in range(params.folds)
+    ]
+    counts = counts.groupBy(F.expr("substr(model, 2)").alias("name"), "gram").agg(F.sum("n").alias("n"), *parts)
+    counts = storage.materialise(counts.withColumnRenamed("name", "model"), "counts")
     pooled = F.col("model") == POOLED
-    if not grams.where(pooled).isEmpty():
-        every = grams.withColumn("model", F.lit(POOLED)).groupBy("model", "gram").agg(F.sum("n").alias("n"))
-        grams = grams.where(~pooled).union(every)
-    resolved = probabilities(grams)
-    shards = spread(resolved.count(), params.shard)
-    place = F.pmod(F.xxhash64("gram"), F.lit(shards))
-    sums = None
-    for i in range(shards):
-        shard = spark.sparkContext.broadcast(_load(resolved.where(place == i)))
-        part = marked.select("doc_id", "fp", "model", "text").mapInArrow(
-            _scored(shard), "doc_id long, fp long, model string, log_p double, symbols long"
-        )
-        sums = part if sums is None else sums.union(part)
-    # Rows that repeat a document add as often to the sum as to the count.
-    total = sums.groupBy("doc_id", "fp", "model").agg(
-        (F.sum("log_p") * shards / F.count(F.lit(1))).alias("log_p"), F.max("symbols").alias("symbols")
+    own = counts.where(~pooled)
+    if not listed.where(pooled).isEmpty():
+        every = counts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in counts.columns[2:]])
+        own = own.unionByName(every.withColumn("model", F.lit(POOLED)))
+    scored = _perplexities(
+        marked, ["doc_id", "fp"], probabilities(listed, own.select("model", "gram", "n")), params
     )
-    perplexity = F.when((F.col("symbols") > 0) & (F.col("log_p") < 0), F.exp(-F.col("log_p") / F.col("symbols")))
-    return (
-        total.join(good.withColumn("trusted", F.lit(True)), "doc_id", "left")
-        .select(
-            "doc_id", "fp", "model", F.coalesce("trusted", F.lit(False)).alias("trusted"),
-            F.col("symbols").cast("long").alias("symbols"), perplexity.alias("perplexity"),
-        )
+    scored = scored.join(good.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn(
+        "trusted", F.coalesce("trusted", F.lit(False))
     )
 
+    tested = counts.where(~pooled)
+    folds = F.array(*[
+        F.struct(F.lit(str(i)).alias("fold"), F.col(f"fold{i}").alias("own")) for i in range(params.folds)
+    ])
+    folds = tested.select("model", "gram", "n", F.inline(folds))
+    left = folds.where("n > own").select(unseen, "gram", (F.col("n") - F.col("own")).alias("n"))
+    resolved = probabilities(folds.where("own > 0").select(unseen, "gram"), left)
+    held = _perplexities(trusted.where(~pooled).withColumn("model", unseen), ["fp"], resolved, params)
+    return scored, held.withColumn("model", F.expr("substr(model, 2)")).where("perplexity IS NOT NULL")
+
+
+def _limit(params: QualityParams) -> Column:
+    """The threshold that a group of held-out perplexities gives."""
+    plain = F.percentile_approx("perplexity", params.quantile, 10_000)
+    n = F.count("perplexity")
+    z, v = NormalDist().inv_cdf(min(max(params.quantile, 1e-9), 1 - 1e-9)), n - 1
+    # Fisher's series of Student's t.
+    t = (
+        z + F.try_divide(F.lit((z**3 + z) / 4), v)
+        + F.try_divide(F.lit((5 * z**5 + 16 * z**3 + 3 * z) / 96), v**2)
+        + F.try_divide(F.lit((3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384), v**3)
+    )
+    log_p = F.ln("perplexity")
+    bound = F.exp(F.avg(log_p) + t * F.stddev_samp(log_p) * F.sqrt(1 + F.try_divide(F.lit(1), n)))
+    limit = F.when(n * (1 - params.quantile) >= 1, plain).when(n > 1, F.greatest(plain, bound))
+    return limit * params.slack
+
 
 def judge(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """`score` with threshold and kept. Documents without a perplexity are kept."""
-    scored = storage.materialise(score(docs, labels, params), "scores")
-    limits = scored.where("trusted AND perplexity IS NOT NULL").groupBy("model").agg(
-        (F.percentile_approx("perplexity", params.quantile, 10_000) * params.slack).alias("threshold")
-    )
-    overall = scored.where("trusted AND perplexity IS NOT NULL").agg(
-        (F.percentile_approx("perplexity", params.quantile, 10_000) * params.slack).alias("threshold")
-    ).withColumn("model", F.lit(POOLED))
-    limits = limits.where(F.col("model") != POOLED).unionByName(overall)
+    """`score` with threshold and kept. Documents without a perplexity or a threshold are kept."""
+    scored, held = score(docs, labels, params)
+    held = storage.materialise(held, "held")
+    limits = held.groupBy("model").agg(_limit(params).alias("threshold"))
+    overall = held.agg(_limit(params).alias("threshold")).withColumn("model", F.lit(POOLED))
+    limits = limits.unionByName(overall)
     return scored.join(limits, "model", "left").withColumn(
         "kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     )

@@ -354,3 +354,24 @@ def test_perplexity_matches_brute_force(spark):
     assert quality.judge(none(spark), labels(spark)).count() == 0
     nothing = quality.judge(documents(spark), labels(spark).where("false")).collect()
     assert all(r.perplexity is None and r.kept for r in nothing)
+
+
+def prose(n, seed, letters="abcdeiorst"):
+    import random
+
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    return [" ".join(rng.choice(vocabulary) for _ in range(60)) for _ in range(n)]
+
+
+def test_few_trusted_documents_reject_no_clean_ones(spark):
+    """Thresholds come from models that did not see the text, so unseen clean text passes."""
+    texts = prose(60, 1) + ["#@ %% QQ&&! ^^" * 20]
+    docs = documents(spark, [(i, t, "es", "a", 0) for i, t in enumerate(texts)])
+    for trusted in (3, 30):
+        marks = spark.createDataFrame([(i, 1, 0) for i in range(trusted)], "doc_id long, quality int, toxic int")
+        got = {r.doc_id: r for r in quality.judge(docs, marks).collect()}
+        assert len(got) == len(texts)
+        assert sum(got[i].kept for i in range(60)) >= 58
+        if trusted == 30:
+            assert not got[60].kept
