@@ -18,6 +18,9 @@ model of characters finds improbable.
 5. A document is rejected if its perplexity is above a quantile of these held-out perplexities of its
    language. Where they are too few for the quantile, the threshold is at least the bound that
    Student's t puts on one more of their logarithms; one alone gives no threshold.
+6. A document of unknown language is held against the trusted documents of every language, scored by a
+   held-out model of all: the threshold is the quantile of all or of one language, whichever is largest. A
+   language without trusted text has no threshold: its documents have a perplexity and are kept.
 """
 
 from __future__ import annotations
@@ -275,6 +278,7 @@ def _scored(shard):
                     {
                         "doc_id": part.column("doc_id"),
                         "fp": part.column("fp"),
+                        "lang": part.column("lang"),
                         "model": part.column("model"),
                         "log_p": pa.array(total),
                         "symbols": pa.array(n.astype(np.int64)),
@@ -297,16 +301,16 @@ def _load(rows: DataFrame) -> Shard:
     return Shard(keys, table.column("log_p").to_numpy())
 
 
-def _perplexities(texts: DataFrame, by: list[str], resolved: DataFrame, params: QualityParams) -> DataFrame:
-    """(*by, model, symbols, perplexity) of texts (doc_id, fp, model, text)."""
+def _perplexities(texts: DataFrame, by: list[str | Column], resolved: DataFrame, params: QualityParams) -> DataFrame:
+    """(*by, model, symbols, perplexity), `by` of doc_id, fp, lang, of texts (doc_id, fp, lang, model, text)."""
     sc = texts.sparkSession.sparkContext
     shards = spread(resolved.count(), params.shard)
     place = F.pmod(F.xxhash64("gram"), F.lit(shards))
     sums = None
     for i in range(shards):
         shard = sc.broadcast(_load(resolved.where(place == i)))
-        part = texts.select("doc_id", "fp", "model", "text").mapInArrow(
-            _scored(shard), "doc_id long, fp long, model string, log_p double, symbols long"
+        part = texts.select("doc_id", "fp", "lang", "model", "text").mapInArrow(
+            _scored(shard), "doc_id long, fp long, lang string, model string, log_p double, symbols long"
         )
         sums = part if sums is None else sums.union(part)
     # Rows that repeat a document add as often to the sum as to the count.
@@ -314,17 +318,18 @@ def _perplexities(texts: DataFrame, by: list[str], resolved: DataFrame, params:
         (F.sum("log_p") * shards / F.count(F.lit(1))).alias("log_p"), F.max("symbols").alias("symbols")
     )
     perplexity = F.when((F.col("symbols") > 0) & (F.col("log_p") < 0), F.exp(-F.col("log_p") / F.col("symbols")))
-    return total.select(*by, "model", F.col("symbols").cast("long").alias("symbols"), perplexity.alias("perplexity"))
+    return total.withColumns({"symbols": F.col("symbols").cast("long"), "perplexity": perplexity}).drop("log_p")
 
 
 def score(
     docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()
 ) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp, model, trusted, symbols, perplexity), one row for each (doc_id, text) of docs,
-    and the held-out (fp, model, symbols, perplexity), one row for each trusted text of a model.
+    """(doc_id, fp, known, model, trusted, symbols, perplexity), one row for each (doc_id, text) of docs,
+    and the held-out (fp, lang, model, symbols, perplexity), one row for each trusted text of a model.
 
     Trusted are documents labelled quality 1 and not toxic 1. A document of a language without
-    trusted documents is scored by the model of all of them; null is a language of its own. Empty
+    trusted documents is scored by the model of all of them; null, '' and '*' are not `known`
+    languages; null and '' have a model of their own where trusted texts have them. Empty
     and null texts have perplexity null. Without any trusted text there is no model and every perplexity is null.
     """
     good = labels.where("quality = 1 AND coalesce(toxic, 0) <> 1 AND doc_id IS NOT NULL")
@@ -335,14 +340,15 @@ def score(
     fold = F.pmod("fp", F.lit(params.folds)).cast("string")
     trusted = storage.materialise(
         rows.where("text <> ''").join(F.broadcast(thin), "doc_id")
-        .select("doc_id", "fp", F.col("lang").alias("model"), fold.alias("fold"), "text"),
+        .select("doc_id", "fp", "lang", F.col("lang").alias("model"), fold.alias("fold"), "text"),
         "texts",
     )
     # Languages with trusted text have a model of their own.
     has = trusted.select(F.col("model").alias("lang")).distinct().withColumn("has", F.lit(True))
     has = storage.materialise(has, "languages")
     chosen = F.when(F.col("has") & (F.col("lang") != POOLED), F.col("lang")).otherwise(F.lit(POOLED))
-    marked = rows.join(has, "lang", "left").withColumn("model", chosen)
+    known = ~F.col("lang").isin("", POOLED)
+    marked = rows.join(has, "lang", "left").withColumn("model", chosen).withColumn("known", known)
     listed = marked.select("model", "text").mapInArrow(_counted, "model string, gram string, n long")
     listed = storage.materialise(listed.select("model", "gram").distinct(), "grams")
 
@@ -361,20 +367,25 @@ def score(
         every = counts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in counts.columns[2:]])
         own = own.unionByName(every.withColumn("model", F.lit(POOLED)))
     scored = _perplexities(
-        marked, ["doc_id", "fp"], probabilities(listed, own.select("model", "gram", "n")), params
+        marked, ["doc_id", "fp", known.alias("known")], probabilities(listed, own.select("model", "gram", "n")), params
     )
     scored = scored.join(good.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn(
         "trusted", F.coalesce("trusted", F.lit(False))
     )
 
-    tested = counts.where(~pooled)
+    # The pooled model has a threshold only for documents of unknown language.
+    asked = not marked.where(pooled & ~F.col("known")).isEmpty()
+    tested = own if asked else counts.where(~pooled)
     folds = F.array(*[
         F.struct(F.lit(str(i)).alias("fold"), F.col(f"fold{i}").alias("own")) for i in range(params.folds)
     ])
     folds = tested.select("model", "gram", "n", F.inline(folds))
     left = folds.where("n > own").select(unseen, "gram", (F.col("n") - F.col("own")).alias("n"))
     resolved = probabilities(folds.where("own > 0").select(unseen, "gram"), left)
-    held = _perplexities(trusted.where(~pooled).withColumn("model", unseen), ["fp"], resolved, params)
+    texts = trusted.where(~pooled)
+    if asked:
+        texts = texts.unionByName(trusted.withColumn("model", F.lit(POOLED)))
+    held = _perplexities(texts.withColumn("model", unseen), ["fp", "lang"], resolved, params)
     return scored, held.withColumn("model", F.expr("substr(model, 2)")).where("perplexity IS NOT NULL")
 
 
@@ -400,8 +411,14 @@ def judge(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityPar
     scored, held = score(docs, labels, params)
     held = storage.materialise(held, "held")
     limits = held.groupBy("model").agg(_limit(params).alias("threshold"))
-    overall = held.agg(_limit(params).alias("threshold")).withColumn("model", F.lit(POOLED))
-    limits = limits.unionByName(overall)
-    return scored.join(limits, "model", "left").withColumn(
+    each = held.where(F.col("model") == POOLED).groupBy("model", "lang").agg(
+        (F.percentile_approx("perplexity", params.quantile, 10_000) * params.slack).alias("one")
+    )
+    limits = limits.join(each.groupBy("model").agg(F.max("one").alias("one")), "model", "left")
+    limits = limits.select(
+        "model", F.when(F.col("threshold").isNotNull(), F.greatest("threshold", "one")).alias("threshold")
+    )
+    threshold = F.when((F.col("model") != POOLED) | ~F.col("known"), F.col("threshold"))
+    return scored.join(limits, "model", "left").withColumn("threshold", threshold).withColumn(
         "kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     )

@@ -375,3 +375,20 @@ def test_few_trusted_documents_reject_no_clean_ones(spark):
         assert sum(got[i].kept for i in range(60)) >= 58
         if trusted == 30:
             assert not got[60].kept
+
+
+def test_documents_without_a_language_of_their_own(spark):
+    """Null language is held against the pooled model; a language without trusted text has no threshold."""
+    rows = [(i, t, "es", "a", 0) for i, t in enumerate(prose(100, 1))]
+    rows += [(100 + i, t, "de", "a", 0) for i, t in enumerate(prose(15, 2, "fghklmnpqu"))]
+    trusted = [(i, 1, 0) for i in (*range(50), *range(100, 110))]
+    rows = [(*r[:2], r[2] if r[0] < 50 or 100 <= r[0] < 110 else None, *r[3:]) for r in rows]
+    rows += [(200 + i, t, "xx", "a", 0) for i, t in enumerate(prose(10, 3, "vwyzjxäöü"))]
+    rows.append((300, "#@ %% QQ&&! ^^" * 20, None, "a", 0))
+    marks = spark.createDataFrame(trusted, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.judge(documents(spark, rows), marks).collect()}
+    assert len(got) == len(rows)
+    assert all(got[200 + i].kept and got[200 + i].threshold is None and got[200 + i].perplexity for i in range(10))
+    unknown = [got[r[0]] for r in rows if r[2] is None and r[0] != 300]
+    assert len(unknown) == 55 and sum(r.kept for r in unknown) >= 53
+    assert got[300].threshold is not None and not got[300].kept
