@@ -14,6 +14,7 @@ sequences is within about one for a group of what one global packing would need.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,7 +55,8 @@ class CachedTokenizer:
 
     The byte-level pattern never joins the end of a word with what follows it, so a text may be cut in
     front of a space or line feed that follows an ASCII character other than white space or one of
-    the Latin-1 block, and in front of ASCII punctuation that follows a letter. Stretches already met are
+    the Latin-1 block, and in front of ASCII punctuation that follows a letter. The tokenizer takes its added
+    tokens (`<|endoftext|>`) out of a text first, so each is a stretch of its own. Stretches already met are
     looked up by hash; the store takes about `limit` of them and others are encoded again.
     """
 
@@ -64,11 +66,19 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(x.lstrip or x.rstrip or x.single_word for x in added.values()):
+            raise ValueError("added tokens that depend on their neighbours are not supported")
+        names = sorted((x.content.encode() for x in added.values()), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, names))) if names else None
+        # Joined stretches could spell such a name.
+        self.alone = any(set(x) & set(b" \n") for x in names)
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         # One character of a byte-level token stands for one byte.
         self.width[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        for i, x in added.items():
+            self.width[i] = len(x.content.encode())
         self.limit = limit
         self.known = HashIndex()
         self.count = np.zeros(0, np.int32)
@@ -91,6 +101,16 @@ class CachedTokenizer:
         ends = np.searchsorted(lengths, np.cumsum(sizes), side="left") + 1
         return np.diff(ends, prepend=0), ids
 
+    def _added(self, raw: bytes, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Spans of added tokens within the texts: leftmost first, the longest of those."""
+        found = self.added.search(raw) if self.added else None
+        while found:
+            start, end = found.span()
+            inside = offsets[np.searchsorted(offsets, start, side="right")] >= end
+            if inside:
+                yield start, end
+            found = self.added.search(raw, end if inside else start + 1)
+
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in order, and the n + 1 offsets of the texts in them."""
         n = len(data)
@@ -102,6 +122,10 @@ class CachedTokenizer:
         letter = _LETTER[data]
         cut = np.zeros(n + 1, dtype=bool)
         cut[1:n] = (blank[1:] & firm[:-1]) | (_PUNCTUATION[data[1:]] & letter[:-1])
+        raw = data.tobytes()
+        for a, b in self._added(raw, offsets):
+            cut[a:b] = False
+            cut[[a, b]] = True
         cut[offsets] = True
         bounds = np.flatnonzero(cut)
         start, end = bounds[:-1], bounds[1:]
@@ -112,10 +136,9 @@ class CachedTokenizer:
         if len(miss):
             new, sample, inverse = np.unique(hashes[miss], return_index=True, return_inverse=True)
             s, e = start[miss[sample]], end[miss[sample]]
-            safe = blank[s] & firm[e - 1]
+            safe = blank[s] & firm[e - 1] & (not self.alone)
             # Unsafe ones last: each is encoded alone.
             order = np.argsort(~safe, kind="stable")
-            raw = data.tobytes()
             parts = [raw[a:b] for a, b in zip(s[order].tolist(), e[order].tolist(), strict=True)]
             got, ids = self._encode(parts, safe[order])
             place = np.empty(len(new), dtype=np.int32)

@@ -392,3 +392,20 @@ def test_documents_without_a_language_of_their_own(spark):
     unknown = [got[r[0]] for r in rows if r[2] is None and r[0] != 300]
     assert len(unknown) == 55 and sum(r.kept for r in unknown) >= 53
     assert got[300].threshold is not None and not got[300].kept
+
+
+def test_added_tokens_are_encoded_like_the_tokenizer_does():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from partload.llm.common import text_bytes
+
+    path = tokenizer_file("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    texts = ["end of one.<|endoftext|>Next", "<|endoftext|>", "a  <|endoftext|>\n b <|endoftext|><|endoftext|> c",
+             "<|endof", "text|> <|endoftext |>", "x<|endoftext|", "> one é<|endoftext|>é two", "", "<<|endoftext|>>", "end of one. Next"]
+    encode = packing.CachedTokenizer(path)
+    for _ in range(2):
+        ids, ends = encode(*text_bytes(pa.array(texts)))
+        for i, text in enumerate(texts):
+            assert ids[ends[i] : ends[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids
