@@ -47,14 +47,11 @@ POOLED = "*"
 class QualityParams:
     """`quantile` of the held-out trusted perplexities that is still accepted, and `slack` above it.
 
-    Training takes all trusted documents up to about `max_trusted` (more are thinned by a hash of
-    their id; this bounds the list of ids sent to the tasks). `shard` bounds the n-grams sent to
-    the tasks at once, at 16 bytes each. `folds`: 2 to 10.
+    `shard` bounds the n-grams sent to the tasks at once, at 16 bytes each. `folds`: 2 to 10.
     """
 
     quantile: float = 0.995
     slack: float = 1.0
-    max_trusted: int = 1_000_000
     shard: int = 2_000_000
     folds: int = 5
 
@@ -334,12 +331,10 @@ def score(
     """
     good = labels.where("quality = 1 AND coalesce(toxic, 0) <> 1 AND doc_id IS NOT NULL")
     good = storage.materialise(good.select("doc_id").distinct(), "trusted")
-    share = min(1.0, params.max_trusted / max(1, good.count()))
-    thin = good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     rows = docs.select("doc_id", fingerprint().alias("fp"), F.coalesce("lang", F.lit("")).alias("lang"), "text")
     fold = F.pmod("fp", F.lit(params.folds)).cast("string")
     trusted = storage.materialise(
-        rows.where("text <> ''").join(F.broadcast(thin), "doc_id")
+        rows.where("text <> ''").join(good, "doc_id")
         .select("doc_id", "fp", "lang", F.col("lang").alias("model"), fold.alias("fold"), "text"),
         "texts",
     )

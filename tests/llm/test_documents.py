@@ -409,3 +409,13 @@ def test_added_tokens_are_encoded_like_the_tokenizer_does():
         ids, ends = encode(*text_bytes(pa.array(texts)))
         for i, text in enumerate(texts):
             assert ids[ends[i] : ends[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_training_takes_all_trusted_documents(spark, monkeypatch):
+    """The join with the labels neither thins them nor asks for a broadcast."""
+    from pyspark.sql import functions
+
+    hinted = []
+    monkeypatch.setattr(functions, "broadcast", lambda df: hinted.append(df.columns) or df)
+    quality.score(documents(spark), labels(spark))
+    assert not hinted and not hasattr(quality.QualityParams(), "max_trusted")
