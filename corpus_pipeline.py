@@ -31,16 +31,20 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; rows that repeat an id are one.
+    """One text of each group stays, the one with the smallest id; a null id only where no row has one.
 
-    Rows with a null id stay, unless they repeat a text.
+    Rows that repeat an id and its text are one; texts of one id, or of none, are documents of their own.
     """
-    gone = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__doc"))
-    alone = F.when(F.col("doc_id").isNull(), fingerprint())
-    one = Window.partitionBy("__doc", "__fp").orderBy("text")
-    keyed = _keyed(docs).withColumn("__fp", F.coalesce(alone, F.lit(0).cast("long")))
-    left = keyed.join(gone.distinct(), "__doc", "left_anti")
-    return left.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(docs.columns)
+    row = F.xxhash64(F.coalesce("doc_id", F.lit(_NO_ID)), F.coalesce("text", F.lit("")))
+    keyed = docs.withColumn("__row", row)
+    groups = minhash.near_duplicates(keyed.select(F.col("__row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
+    placed = groups.join(keyed.select("__row", "doc_id").distinct(), "__row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("__first")
+    first = placed.groupBy("__group").agg(first).select("__first.__row")
+    one = Window.partitionBy("__row").orderBy("text")
+    left = keyed.join(first, "__row", "left_semi").withColumn("__n", F.row_number().over(one))
+    return left.where("__n = 1").select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,13 @@ def test_stages_take_every_hazard(spark, tmp_path, make):
     for name, stage in corpus_pipeline.STAGES:
         docs = storage.materialise(stage(spark, docs, str(tmp_path)), name)
     assert (docs.count() > 0) == (make is documents)
+
+
+def test_near_duplicates_work_on_texts_not_ids(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(80)) for c in "abcd"]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[0]), (None, texts[2]), (None, f"{texts[2]} z"), (None, texts[3]),
+            (5, texts[3]), (5, texts[3])]
+    docs = documents(spark, [(i, t, "en", "a", None) for i, t in rows])
+    out = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    got = sorted((r.doc_id or 0, r.text[0]) for r in out)
+    assert got == [(0, "c"), (1, "a"), (1, "b"), (5, "d")]
