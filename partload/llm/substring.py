@@ -179,8 +179,9 @@ def repeats(docs: DataFrame, params: RepeatParams) -> DataFrame:
     differ = several.join(decided, ["anchor", "run"]).select(
         "doc_id", "fp", F.when(F.col("every"), whole).otherwise(parts).alias("part")
     )
+    # Rows that repeat one document have the same parts, of which one is kept.
     return (
-        alike.union(differ).groupBy("doc_id", "fp").agg(F.flatten(F.collect_list("part")).alias("spans"))
+        alike.union(differ).groupBy("doc_id", "fp").agg(F.flatten(F.collect_set("part")).alias("spans"))
     )
 
 

@@ -419,3 +419,10 @@ def test_training_takes_all_trusted_documents(spark, monkeypatch):
     monkeypatch.setattr(functions, "broadcast", lambda df: hinted.append(df.columns) or df)
     quality.score(documents(spark), labels(spark))
     assert not hinted and not hasattr(quality.QualityParams(), "max_trusted")
+
+
+def test_copies_of_a_row_give_their_spans_once(spark):
+    text = prose(1, 5)[0]
+    rows = [(None, text, "en", "a", 0)] * 40 + [(7, text, "en", "a", 0)] * 40
+    got = substring.repeats(documents(spark, rows), substring.RepeatParams(window=35)).collect()
+    assert {r.doc_id for r in got} == {-1, 7} and all(len(r.spans) == len(set(r.spans)) for r in got)
