@@ -38,7 +38,7 @@ class PackParams:
     tokens: int = 2048
     documents: int = 2048
     attention: int = 2048 * 2048
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    weights: tuple[float, float, float] = (1.0, 0.1, 0.1)
     rule: str = "norm"
     end_id: int = 0
     per_group: int = 8192

@@ -426,3 +426,12 @@ def test_copies_of_a_row_give_their_spans_once(spark):
     rows = [(None, text, "en", "a", 0)] * 40 + [(7, text, "en", "a", 0)] * 40
     got = substring.repeats(documents(spark, rows), substring.RepeatParams(window=35)).collect()
     assert {r.doc_id for r in got} == {-1, 7} and all(len(r.spans) == len(set(r.spans)) for r in got)
+
+
+def test_registered_packing_weighs_every_residual():
+    import numpy as np
+
+    lengths = np.random.default_rng(2).integers(1, 2049, 2000)
+    scalar = packing.best_fit(lengths, packing.PackParams(weights=(1.0, 0.0, 0.0)))
+    assert all(packing.PackParams().weights)
+    assert packing.best_fit(lengths, packing.PackParams()).max() <= scalar.max() + 1
