@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partload.functions.keys import escape_value
-from partload.operators import loading, onboarding, reconcile, retention, units
+from partload.operators import loading, onboarding, reconcile, retention, swap, units
 from partload.operators import schema as schemas
 from partload.operators.audit import AUDIT_SCHEMA, AuditLog, audit_rows
 from partload.operators.state import WRITTEN, StateTable, pending_units, reused_units
@@ -138,7 +138,13 @@ def _write(
     processing_date: str,
     scope: Callable[[DataFrame], DataFrame],
     replace_date: bool,
+    before: LoadResult,
+    gone: str | None = None,
 ) -> LoadResult:
+    """Stage the rows, judge the error limit over them and those loaded `before`, then swap.
+
+    `gone` is a partition to remove if no row is left for it.
+    """
     dynamic = job.target.dynamic_columns
     names = list(tables)
     frame = scope(
@@ -154,21 +160,47 @@ def _write(
         seen, F.count_if(fits).alias("rows"), F.count_if(~fits).alias("failed"), *per_table
     )
     payload = observed.where(fits).drop(loading.ORDINAL, loading.MISFIT)
-    target, limit = job.target, job.setting.max_records_per_file
-    if replace_date:
-        loading.write_date(
-            payload, target.location, processing_date, target.file_format, dynamic, limit
+    target = job.target
+    staged = swap.begin(payload.sparkSession, target.location, processing_date)
+    try:
+        loading.stage_target(
+            payload, staged, target.file_format, target.partition_columns,
+            job.setting.max_records_per_file,
         )
-    else:
-        loading.write_target(
-            payload, target.location, target.file_format, target.partition_columns, limit
+        got = seen.get
+        result = LoadResult(
+            got["rows"], {n: got[f"t{i}"] for i, n in enumerate(names)}, got["failed"]
         )
-    got = seen.get
-    if got["rows"] == 0 and not dynamic:
-        # The date is the partition, and a write without rows replaces none.
-        spark = observed.sparkSession
-        storage.delete_prefix(spark, f"{target.location}/{DATE_COLUMN}={processing_date}")
-    return LoadResult(got["rows"], {n: got[f"t{i}"] for i, n in enumerate(names)}, got["failed"])
+        (before + result).check(job.setting.error_limit)
+    except BaseException:
+        staged.discard()
+        raise
+    date = f"{DATE_COLUMN}={escape_value(processing_date)}"
+    if replace_date or not dynamic:
+        # The date is swapped as a whole; a load without rows empties it.
+        put, drop = ([date], []) if result.reported else ([], [date])
+    else:
+        put = staged.partitions(len(target.partition_columns))
+        drop = [gone] if gone and not result.reported else []
+    staged.publish(put, drop)
+    return result
+
+
+def _check_before(
+    job: JobSpec, tables: Tables, resolved: Sequence[schemas.ResolvedColumn], wanted: DataFrame
+) -> None:
+    """Judge the error limit over all groups of a grouped load, before the first is swapped.
+
+    Reads only the columns that may hold values that do not fit; none if no column may.
+    """
+    if not any(schemas.may_misfit(df.schema, resolved) for df in tables.values()):
+        return
+    dynamic = job.target.dynamic_columns
+    frame = loading.load_frame(tables, resolved, dynamic, "", job.empty_as_null)
+    counted = restrict(frame, wanted, dynamic).agg(
+        F.count_if(~F.col(loading.MISFIT)).alias("rows"), F.count_if(loading.MISFIT).alias("failed")
+    ).first()
+    LoadResult(counted["rows"], failed=counted["failed"]).check(job.setting.error_limit)
 
 
 def _failed_by_unit(
@@ -205,12 +237,28 @@ def load(
     """Cast, union and write; each partition is replaced as a whole.
 
     `wanted` restricts the load to the partition values of a unit plan. With `values_per_batch`
-    the values are written in groups, so that a failed load resumes at the group that failed.
+    the values are swapped in groups, so that a failed load resumes at the group that failed.
     `complete` says that the plan holds every value of the sources, so that no row needs looking up in it.
     `row_limit` caps the rows of each unit, for proof loads. `whole_date` clears the date first.
-    Rows that do not fit their types are left out; after the write the job's error limit decides,
-    and a load above it raises before any unit counts as written.
+    Rows that do not fit their types are left out. The job's error limit decides before anything
+    visible changes: a load above it raises and leaves every old partition as it was.
     """
+    return _load(
+        job, tables, processing_date, wanted, row_limit, after_batch, whole_date, complete
+    )
+
+
+def _load(
+    job: JobSpec,
+    tables: Tables,
+    processing_date: str,
+    wanted: DataFrame | None = None,
+    row_limit: int = 0,
+    after_batch: Callable[[DataFrame], None] | None = None,
+    whole_date: bool = False,
+    complete: bool = False,
+    gone: str | None = None,
+) -> LoadResult:
     tables = _ordered(job, tables)
     resolved = resolve(job, tables)
     dynamic = job.target.dynamic_columns
@@ -230,21 +278,23 @@ def load(
             every = wanted is None or complete
             return capped(frame if every else restrict(frame, wanted, dynamic))
 
-        result = _write(job, tables, resolved, processing_date, scope, whole_date)
-        result.check(job.setting.error_limit)
+        result = _write(
+            job, tables, resolved, processing_date, scope, whole_date, LoadResult(0), gone
+        )
         if after_batch and wanted is not None:
             after_batch(
                 _failed_by_unit(job, tables, resolved, wanted) if result.failed else wanted
             )
         return result
-    if whole_date:
-        storage.delete_prefix(spark, f"{job.target.location}/{DATE_COLUMN}={processing_date}")
+    _check_before(job, tables, resolved, wanted)
     total = LoadResult(0, {t: 0 for t in tables})
+    if whole_date:
+        date = f"{DATE_COLUMN}={escape_value(processing_date)}"
+        swap.begin(spark, job.target.location, processing_date).publish([], [date])
     for group in batched(_scopes(wanted, dynamic), size):
         some = {t: df.where(values_filter(df, group)) for t, df in tables.items()}
-        result = _write(job, some, resolved, processing_date, capped, False)
+        result = _write(job, some, resolved, processing_date, capped, False, total)
         total += result
-        total.check(job.setting.error_limit)
         if after_batch:
             schema = T.StructType([T.StructField(c, T.StringType()) for c in dynamic])
             values = rows.few_rows(spark, schema, [tuple(g[c] for c in dynamic) for g in group])
@@ -267,14 +317,11 @@ def load_one(
         t: df.where(values_filter(df, [values])) if values else df
         for t, df in _ordered(job, tables).items()
     }
-    result = load(job, some, processing_date, row_limit=row_limit)
-    if result.reported == 0 and values:
-        # The value has no rows any more, so no write replaced its partition.
-        spark = next(iter(some.values())).sparkSession
+    gone = None
+    if values:
         parts = [(DATE_COLUMN, processing_date), *((c, values[c]) for c in job.target.dynamic_columns)]
-        folder = "/".join(f"{c}={escape_value(v)}" for c, v in parts)
-        storage.delete_prefix(spark, f"{job.target.location}/{folder}")
-    return result
+        gone = "/".join(f"{c}={escape_value(v)}" for c, v in parts)
+    return _load(job, some, processing_date, row_limit=row_limit, gone=gone)
 
 
 def target_frame(spark: SparkSession, job: JobSpec, tables: Tables) -> DataFrame:
@@ -376,6 +423,7 @@ def run(
                 F.coalesce(F.sum("records_read"), F.lit(0))
             ).first()[0]
         loading.ensure_dir(spark, job.target.location)
+        swap.recover(spark, job.target.location, processing_date)
         result = LoadResult(0)
         clear = job.replace_date and stored == 0
         if clear or not todo.isEmpty():

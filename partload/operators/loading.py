@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from partload.operators import swap
 from partload.operators.schema import ResolvedColumn, conform, misfit, payload_columns
 from partload.operators.units import partition_values
 from partload.sources import delimited, storage
@@ -120,19 +121,15 @@ def write_dir(
         writer.format(file_format).save(path)
 
 
-def write_date(
+def stage_target(
     df: DataFrame,
-    location: str,
-    processing_date: str,
-    file_format: str,
-    dynamic: Sequence[str],
+    staged: swap.Staged,
+    file_format: str = "parquet",
+    partition_columns: Sequence[str] = (DATE_COLUMN,),
     max_records: int = 0,
 ) -> None:
-    """Replace everything under one processing date, values of earlier runs included."""
-    write_dir(
-        df.drop(DATE_COLUMN), f"{location.rstrip('/')}/{DATE_COLUMN}={processing_date}",
-        file_format, partition_by=dynamic, max_records=max_records,
-    )
+    """Write partitions to a hidden folder; `swap` makes them visible."""
+    write_dir(df, staged.new, file_format, partition_by=partition_columns, max_records=max_records)
 
 
 def read_target(

@@ -167,6 +167,22 @@ def cast_column(
     return empty_to_null(text) if empty_as_null else text
 
 
+def _checked(f: T.StructField, to: ResolvedColumn) -> bool:
+    return f.dataType != to.target_type and (to.native or to.family in ("decimal", "integer"))
+
+
+def may_misfit(schema: T.StructType, resolved: Sequence[ResolvedColumn]) -> bool:
+    """Whether some column may hold values that do not fit: text as numbers, or a narrower type."""
+    by_name = {f.name.strip().upper(): f for f in schema.fields}
+    wider = (T.IntegralType, T.FloatType, T.DecimalType)
+    for to in resolved:
+        f = by_name[to.name.strip().upper()]
+        safe = isinstance(f.dataType, wider) and to.target_type in (T.DoubleType(), T.LongType())
+        if _checked(f, to) and not safe:
+            return True
+    return False
+
+
 def misfit(df: DataFrame, resolved: Sequence[ResolvedColumn], empty_as_null: bool = True) -> Column:
     """Whether a row holds a value that does not fit its target type.
 
@@ -176,7 +192,7 @@ def misfit(df: DataFrame, resolved: Sequence[ResolvedColumn], empty_as_null: boo
     out = F.lit(False)
     for to in resolved:
         f = by_name[to.name.strip().upper()]
-        if f.dataType == to.target_type or not (to.native or to.family in ("decimal", "integer")):
+        if not _checked(f, to):
             continue
         value = df[f"`{f.name}`"]
         given = value.isNotNull()

@@ -183,6 +183,30 @@ def load_with_bad_rows(spark, sf_dir):
     return out
 
 
+def limit_keeps_old_rows(spark, sf_dir):
+    """Orders loaded, then loaded again with changed keys and unfit prices of one status, which is above
+    the error limit: what a target by month, a target of whole dates and one loaded in groups hold."""
+    tables = order_tables(spark, sf_dir)
+    price = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    later = {t: df.withColumn("o_orderkey", -F.col("o_orderkey")) for t, df in tables.items()}
+    later["lt1"] = later["lt1"].withColumn("o_totalprice", price)
+    out = None
+    for name in ("by_month", "whole_date", "in_groups"):
+        job = orders_job(spark, setting=RunSetting(values_per_batch=40 if name == "in_groups" else None))
+        if name == "whole_date":
+            job = replace(job, target=replace(job.target, partitions=()))
+        audit = AuditLog([file_sink(spark, f"{storage.scratch_dir(spark)}/audit")])
+        for given in (tables, later):
+            jobs.run_all(spark, [job], DATE, audit, tables={job.table_name: given}, force=True)
+        failed = audit.read().agg(F.count_if(F.col("status") == "failed")).first()[0]
+        row = jobs.target_frame(spark, job, tables).select(
+            F.lit(name).alias("target"), F.lit(failed).cast("bigint").alias("failed_runs"),
+            "o_orderkey", "o_totalprice", F.col(MONTH).cast("string").alias(MONTH),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def expire_registered(spark, sf_dir):
     """Events of a registered table by day: dates, rows and registered partitions left after the old
     ones expired, and after a run whose metadata step fails."""
@@ -315,6 +339,7 @@ QUERIES = {
     "expire_job": expire_job,
     "resume_text_keys": resume_text_keys,
     "load_with_bad_rows": load_with_bad_rows,
+    "limit_keeps_old_rows": limit_keeps_old_rows,
     "expire_registered": expire_registered,
 }
 
@@ -364,6 +389,9 @@ SELECT CASE l_linestatus WHEN 'O' THEN l_returnflag || '_x' ELSE l_returnflag EN
        count(*) AS row_count, 'success' AS status,
        (SELECT count(*) FROM lineitem) AS reported_count
 FROM lineitem GROUP BY ALL""",
+    "limit_keeps_old_rows": f"""
+SELECT t.target, 1::BIGINT AS failed_runs, o_orderkey, o_totalprice, {MONTH_TEXT_SQL} AS order_month
+FROM orders, (SELECT unnest(['by_month', 'whole_date', 'in_groups']) AS target) AS t""",
     "load_with_bad_rows": """
 WITH counted AS (
   SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 2 = 0 AND o_orderstatus = 'P') AS bad FROM orders

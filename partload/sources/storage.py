@@ -66,6 +66,46 @@ def delete_prefix(spark: SparkSession, path: str) -> int:
     return found
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; folders above the target are made. Repeating a done move is no error."""
+    fs, src = _fs(spark, source)
+    dst = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst) and (fs.exists(src) or not fs.exists(dst)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, such as a list of partition folders."""
+    fs, jpath = _fs(spark, path)
+    out = fs.create(jpath, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths that match a pattern."""
+    fs, jpath = _fs(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(jpath) or ()]
+
+
+def delete_empty_dir(spark: SparkSession, path: str) -> None:
+    fs, jpath = _fs(spark, path)
+    if fs.exists(jpath) and not fs.listStatusIterator(jpath).hasNext():
+        fs.delete(jpath, False)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the directories directly under a path."""
     fs, jpath = _fs(spark, path)
