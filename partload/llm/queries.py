@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partload.llm import fingerprints, langid, minhash, mixing, packing, quality, quotes, substring, vectors, warc
+from partload.llm import (
+    fingerprints, langid, lines, minhash, mixing, packing, quality, quotes, substring, vectors, warc, whitening,
+)
 from partload.llm.common import read
 
 
@@ -64,7 +66,18 @@ def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.words_taken(plan).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def distinct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.drop_repeated_lines(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op12_distinct_lines": distinct_lines,
+    "op13_whitened_embeddings": whitened_embeddings,
     "op1_linked_quotations": linked_quotations,
     "op2_document_languages": document_languages,
     "op3_packed_sequences": packed_sequences,
@@ -207,6 +220,24 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id > first THEN first END AS refers_to
         FROM f
     """,
+    "op12_distinct_lines": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        l AS (
+            SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line,
+                generate_subscripts(string_split(text, chr(10)), 1) AS i
+            FROM d
+        ), k AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM l
+        ), f AS (
+            SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10
+            GROUP BY key HAVING count(DISTINCT doc_id) > 1
+        ), g AS (SELECT k.*, coalesce(k.doc_id > f.first, false) AS gone FROM k LEFT JOIN f USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM g GROUP BY r, doc_id
+    """,
     "op9_repeated_passages": rf"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
         win AS (
