@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partload.llm import (
-    fingerprints, langid, lines, minhash, mixing, packing, quality, quotes, substring, vectors, warc, whitening,
+    fingerprints, langid, lines, minhash, mixing, packing, quality, quotes, ranked, substring, vectors, warc,
+    whitening,
 )
 from partload.llm.common import read
 
@@ -75,7 +76,12 @@ def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
 
+def ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op11_ranked_documents": ranked_documents,
     "op12_distinct_lines": distinct_lines,
     "op13_whitened_embeddings": whitened_embeddings,
     "op1_linked_quotations": linked_quotations,
@@ -220,6 +226,33 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id > first THEN first END AS refers_to
         FROM f
     """,
+    "op11_ranked_documents": r"""
+        WITH t AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+        l AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM c GROUP BY doc_id),
+        g AS (SELECT count(*) AS N_, sum(n)::BIGINT AS L_ FROM l),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * N_ + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM c, g GROUP BY term, N_
+        ), q AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), s AS (
+            SELECT item_id, doc_id,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * N_) // L_))))::BIGINT AS score
+            FROM q JOIN w USING (term) JOIN c USING (term) JOIN l USING (doc_id), g
+            GROUP BY item_id, doc_id HAVING score > 0
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+            doc_id, score
+        FROM s QUALIFY rank <= 10
+    """,
     "op12_distinct_lines": r"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
         l AS (
