@@ -32,7 +32,8 @@ class NearParams:
     """`percent`: links need 100 * intersection >= percent * union.
 
     24 bands of 5 coordinates miss a pair of similarity 0.8 with probability 7e-5, and one of
-    0.85 with 8e-7. `block`: shingles of the documents a task compares with others at once.
+    0.85 with 8e-7. `block` and `members`: shingles and documents a task compares with
+    others at once.
     """
 
     shingle: int = 5
@@ -41,6 +42,7 @@ class NearParams:
     rows: int = 5
     lower: bool = True
     block: int = 200_000
+    members: int = 2_000
 
 
 def shingle_sets(words: Words, k: int) -> Iterator[np.ndarray]:
@@ -84,7 +86,9 @@ def _sketched(params: NearParams):
             for part in slices(batch, "text"):
                 words = Words(*text_bytes(part.column("text")), lower=params.lower)
                 sets = list(shingle_sets(words, params.shingle))
-                sketch = sketches(sets, t).reshape(len(sets), params.bands, params.rows)
+                sketch = sketches(sets, t)
+                mini = (mix64(sketch) >> _U(56)).astype(np.uint8)
+                sketch = sketch.reshape(len(sets), params.bands, params.rows)
                 band = np.zeros((len(sets), params.bands), _U)
                 for j in range(params.rows):
                     band = mix64(band * _U(31) + sketch[:, :, j])
@@ -102,6 +106,10 @@ def _sketched(params: NearParams):
                              for (a, b), s in zip(digest, sets, strict=True)],
                             pa.string(),
                         ),
+                        # One byte of each coordinate; a set without elements has no sketch.
+                        "mini": pa.array(
+                            [m.tobytes() if len(s) else None for m, s in zip(mini, sets, strict=True)], pa.binary()
+                        ),
                         "bands": pa.array(
                             [b.view(np.int64) if len(s) else [] for b, s in zip(band, sets, strict=True)],
                             pa.list_(pa.int64()),
@@ -112,37 +120,35 @@ def _sketched(params: NearParams):
     return run
 
 
-def _tested(params: NearParams):
+def _likely(params: NearParams):
+    """Pairs whose sketches agree in no less than `percent` - 25 of 100 coordinates."""
+    t = params.bands * params.rows
+    least = t * (params.percent - 25) // 100
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a"):
-                sides = []
-                for side in ("text_a", "text_b"):
-                    # Pairs come ordered by b, so neighbours mostly repeat one text.
-                    texts = part.column(side).dictionary_encode()
-                    words = Words(*text_bytes(texts.dictionary), lower=params.lower)
-                    sets = list(shingle_sets(words, params.shingle))
-                    sides.append([sets[i] for i in texts.indices.to_numpy(zero_copy_only=False)])
-                passed = []
-                for x, y in zip(*sides, strict=True):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    passed.append(100 * both >= params.percent * (len(x) + len(y) - both))
-                yield part.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
+            if not batch.num_rows:
+                continue
+            x, y = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, t)
+                for c in ("mini_a", "mini_b")
+            )
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
 
     return run
 
 
-def _short(shingles: np.ndarray) -> bytes:
-    """The upper 40 bits of each shingle. Two that differ, one of each of two sets of a thousand,
-    coincide there with a probability of one in a million."""
-    upper = np.unique(shingles >> _U(24)).astype(">u8")
-    return upper.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
-
+def _tested(params: NearParams):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            passed = []
+            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=_U) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                passed.append(100 * both >= params.percent * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-def _long(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), dtype=np.uint8)
-    out[:, 3:] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 5)
-    return out.view(">u8").reshape(-1).astype(_U)
+    return run
 
 
 def _sets(params: NearParams):
@@ -150,7 +156,7 @@ def _sets(params: NearParams):
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(*text_bytes(part.column("text")), lower=params.lower)
-                sets = [_short(s) for s in shingle_sets(words, params.shingle)]
+                sets = [s.tobytes() for s in shingle_sets(words, params.shingle)]
                 yield pa.record_batch(
                     {"rep": part.column("doc_id"), "shingles": pa.array(sets, pa.binary())}
                 )
@@ -158,16 +164,25 @@ def _sets(params: NearParams):
     return run
 
 
-def verified(docs: DataFrame, pairs: DataFrame, params: NearParams) -> DataFrame:
+def candidate_sets(docs: DataFrame, reps: DataFrame, params: NearParams) -> DataFrame:
+    """(rep, shingles): the full 64-bit shingle sets of those documents that are candidates at all.
+
+    The one time that texts are shuffled; both exact tests read the sets.
+    """
+    chosen = docs.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = chosen.mapInArrow(_sets(params), "rep long, shingles binary")
+    return storage.materialise(sets, "sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, params: NearParams) -> DataFrame:
     """Those pairs (a, b) whose full sets pass the test.
 
-    The texts are dealt by doc_id once (both joins read that one exchange); only the text of a pair's
-    first document moves again. A document that stands in very many pairs makes its key hot; AQE
-    splits that side, and the other side has one row for each key.
+    Both joins read one exchange of the sets; only the set of a pair's first document moves again. A
+    document that stands in very many pairs makes its key hot; AQE splits that side, and the other
+    side has one row for each key.
     """
-    texts = docs.select("doc_id", "text")
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    first = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a"))
+    second = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b"))
     return (
         pairs.join(first, "a").join(second, "b")
         .mapInArrow(_tested(params), "a long, b long")
@@ -201,7 +216,7 @@ def _between(params: NearParams):
         block = table.column("block").to_numpy()
         left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
         rep, component = table.column("rep").to_numpy(), table.column("component").to_numpy()
-        sets = [_long(x) for x in table.column("shingles").to_pylist()]
+        sets = [np.frombuffer(x, dtype=_U) for x in table.column("shingles").to_pylist()]
         size = np.array([len(x) for x in sets])
         # Most members are of one component mostly, and need no comparison with each other.
         names, n = np.unique(component, return_counts=True)
@@ -222,17 +237,13 @@ def _between(params: NearParams):
     return run
 
 
-def open_links(docs: DataFrame, entries: DataFrame, params: NearParams) -> DataFrame:
+def open_links(sets: DataFrame, entries: DataFrame, params: NearParams) -> DataFrame:
     """Links (a, b) between different components of a bucket: entries (bucket, rep, component, blocks).
 
-    The members of a bucket are dealt to blocks of about `params.block` shingles, and every two blocks
-    meet in one task, so a large bucket is compared in many tasks of bounded size.
+    The members of a bucket are dealt to blocks of about `params.block` shingles and at most about
+    `params.members` documents, and every two blocks meet in one task, so a large bucket is compared in
+    many tasks of bounded size.
     """
-    wanted = entries.select(F.col("rep").alias("doc_id")).distinct()
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _sets(params), "rep long, shingles binary"
-    )
-    sets = storage.materialise(sets, "sets").distinct()
     block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = (
@@ -241,7 +252,7 @@ def open_links(docs: DataFrame, entries: DataFrame, params: NearParams) -> DataF
         .select("bucket", "low", "high", "block", "rep", "component")
     )
     return (
-        dealt.join(sets, "rep")
+        dealt.join(sets.distinct(), "rep")
         .groupBy("bucket", "low", "high")
         .applyInArrow(_between(params), "a long, b long")
         .distinct()
@@ -257,7 +268,9 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
 
     1. Documents of equal sets form a class (grouped by a 128-bit digest of the set).
     2. In every band bucket each class is compared with the bucket's smallest one. The number of
-       pairs is at most the number of bucket entries.
+       pairs is at most the number of bucket entries. Pairs whose sketches agree far too rarely (by a
+       quarter of all coordinates, which a pair that links does with a probability below 1e-8) go;
+       the full sets of the others decide.
     3. Buckets whose classes are not all connected then are compared in full between components,
        block by block within tasks, so that no link that could join two components is lost and none
        of the pairs becomes a row.
@@ -265,7 +278,7 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
     rows = docs.select("doc_id", "text")
     sketched = storage.materialise(
         rows.mapInArrow(
-            _sketched(params), "doc_id long, n_shingles long, digest string, bands array<long>"
+            _sketched(params), "doc_id long, n_shingles long, digest string, mini binary, bands array<long>"
         ),
         "sketches",
     )
@@ -275,25 +288,26 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
         named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes"
     )
     member = named.join(classes, "digest").select("doc_id", "rep").distinct()
-    entries = (
-        named.join(classes, [named.digest == classes.digest, named.doc_id == classes.rep])
-        .select(F.explode(F.array_distinct("bands")).alias("bucket"), "rep", "n_shingles")
-        .distinct()
-    )
+    chosen = named.join(classes, [named.digest == classes.digest, named.doc_id == classes.rep])
+    entries = chosen.select(F.explode(F.array_distinct("bands")).alias("bucket"), "rep", "n_shingles").distinct()
     shared = entries.groupBy("bucket").agg(
         F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")
     ).where("n > 1").drop("n")
     entries = storage.materialise(entries.join(shared, "bucket"), "entries")
-    sizes = entries.select(F.col("rep").alias("pivot"), F.col("n_shingles").alias("_n")).distinct()
-
-    stars = (
-        entries.where("rep <> pivot").select("pivot", "rep", "n_shingles").distinct()
-        .join(sizes, "pivot")
-        .where(100 * F.least("n_shingles", "_n") >= params.percent * F.greatest("n_shingles", "_n"))
-        .select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+    reps = storage.materialise(entries.select("rep").distinct(), "reps")
+    minis = chosen.select("rep", F.col("n_shingles").alias("n"), "mini").distinct()
+    minis = storage.materialise(minis.join(reps, "rep", "left_semi"), "minis")
+    first = minis.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("mini").alias("mini_a"))
+    second = minis.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("mini").alias("mini_b"))
+
+    stars = entries.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = stars.join(first, "a").join(second, "b").where(
+        100 * F.least("n_a", "n_b") >= params.percent * F.greatest("n_a", "n_b")
     )
-    stars = storage.materialise(stars, "stars")
-    links = storage.materialise(verified(rows, stars, params), "links")
+    stars = stars.select("a", "b", "mini_a", "mini_b").mapInArrow(_likely(params), "a long, b long")
+    stars = storage.materialise(stars.distinct(), "stars")
+    sets = candidate_sets(rows, reps, params)
+    links = storage.materialise(verified(stars, sets, params), "links")
     found = storage.materialise(components(links), "components")
 
     # What stands in one bucket but in several components yet.
@@ -302,11 +316,13 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
     )
     mixed = placed.groupBy("bucket").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high"),
-        F.ceil(F.sum("n_shingles") / params.block).alias("blocks"),
+        F.ceil(
+            F.greatest(F.sum("n_shingles") / params.block, F.count(F.lit(1)) / params.members)
+        ).alias("blocks"),
     ).where("_low <> _high").select("bucket", "blocks")
     open_ = storage.materialise(placed.join(mixed, "bucket").drop("n_shingles"), "open")
     if not open_.isEmpty():
-        more = open_links(rows, open_, params)
+        more = open_links(sets, open_, params)
         found = storage.materialise(components(links.union(more)), "components")
     found = found.select(F.col("node").alias("rep"), "component")
     placed = member.join(found, "rep", "left").select(

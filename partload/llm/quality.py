@@ -285,30 +285,40 @@ def _scored(shard):
     return run
 
 
-def _load(rows: DataFrame) -> Shard:
-    table = rows.select("model", "gram", F.ln("p").cast("float").alias("log_p")).toArrow()
-    points = np.frombuffer(
-        "".join(table.column("gram").to_pylist()).encode("utf-32-le"), dtype=np.uint32
-    ).reshape(-1, ORDER).astype(_U)
-    keys = (points * _PLACES).sum(axis=1, dtype=_U)
-    names = table.column("model").combine_chunks().dictionary_encode()
-    salts = np.array([_model_key(x) for x in names.dictionary.to_pylist()], dtype=_U)
-    if len(keys):
-        keys = keys + salts[names.indices.to_numpy()]
-    return Shard(keys, table.column("log_p").to_numpy())
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The table key of each n-gram, made in the tasks, so that the driver meets numbers only."""
+    for batch in batches:
+        text = "".join(batch.column("gram").to_pylist())
+        points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).reshape(-1, ORDER).astype(_U)
+        names = batch.column("model").dictionary_encode()
+        salts = np.array([_model_key(x) for x in names.dictionary.to_pylist()], dtype=_U)
+        keys = (points * _PLACES).sum(axis=1, dtype=_U)
+        if len(keys):
+            keys = keys + salts[names.indices.to_numpy()]
+        yield pa.record_batch({"key": pa.array(keys.view(np.int64)), "log_p": batch.column("log_p")})
 
 
 def _perplexities(texts: DataFrame, by: list[str | Column], resolved: DataFrame, params: QualityParams) -> DataFrame:
-    """(*by, model, symbols, perplexity), `by` of doc_id, fp, lang, of texts (doc_id, fp, lang, model, text)."""
+    """(*by, model, symbols, perplexity), `by` of doc_id, fp, lang, of texts (doc_id, fp, lang, model, text).
+
+    One shard of the probabilities is sent to the tasks at a time; the sums it gives are written
+    before the next one is built, and it is given back.
+    """
     sc = texts.sparkSession.sparkContext
-    shards = spread(resolved.count(), params.shard)
-    place = F.pmod(F.xxhash64("gram"), F.lit(shards))
+    keyed = resolved.select("model", "gram", F.ln("p").cast("float").alias("log_p"))
+    keyed = storage.materialise(keyed.mapInArrow(_keyed, "key long, log_p float"), "table")
+    shards = spread(keyed.count(), params.shard)
     sums = None
     for i in range(shards):
-        shard = sc.broadcast(_load(resolved.where(place == i)))
+        table = keyed.where(F.pmod("key", F.lit(shards)) == i).toArrow()
+        shard = sc.broadcast(Shard(table.column("key").to_numpy().view(_U), table.column("log_p").to_numpy()))
+        del table
         part = texts.select("doc_id", "fp", "lang", "model", "text").mapInArrow(
             _scored(shard), "doc_id long, fp long, lang string, model string, log_p double, symbols long"
         )
+        part = storage.materialise(part, "sums")
+        shard.destroy()
+        del shard
         sums = part if sums is None else sums.union(part)
     # Rows that repeat a document add as often to the sum as to the count.
     total = sums.groupBy(*by, "model").agg(
@@ -414,6 +424,8 @@ def judge(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityPar
         "model", F.when(F.col("threshold").isNotNull(), F.greatest("threshold", "one")).alias("threshold")
     )
     threshold = F.when((F.col("model") != POOLED) | ~F.col("known"), F.col("threshold"))
+    # Written, so that its size is known and the join is no shuffle of all documents by model.
+    limits = storage.materialise(limits, "limits")
     return scored.join(limits, "model", "left").withColumn("threshold", threshold).withColumn(
         "kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     )
