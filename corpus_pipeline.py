@@ -80,7 +80,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Each stage's result is written; its other scratch tables, and its input, are then given back."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = storage.materialise(stage(spark, docs, sf_dir), name)
+        folder = storage.scratch_dir(spark)
+        with storage.scratch_scope(spark):
+            docs = storage.materialise(stage(spark, docs, sf_dir), name, folder)
+        if before:
+            storage.delete_prefix(spark, before)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -403,8 +403,22 @@ def run(
     """Load one date and prove it. Returns the audit row, or None if the date already succeeded.
 
     With a state table a failed run resumes: finished partitions are kept and skipped. A run that
-    raises leaves a `failed` audit row behind.
+    raises leaves a `failed` audit row behind. Unit plans and other scratch tables are given back.
     """
+    with storage.scratch_scope(spark):
+        return _run(spark, job, processing_date, audit, state, tables, force, row_limit)
+
+
+def _run(
+    spark: SparkSession,
+    job: JobSpec,
+    processing_date: str,
+    audit: AuditLog,
+    state: StateTable | None,
+    tables: Tables | None,
+    force: bool,
+    row_limit: int,
+) -> DataFrame | None:
     start = dt.datetime.now()
     if not force and audit.find_success(job.table_name, processing_date):
         log.info("%s/%s already succeeded", job.table_name, processing_date)

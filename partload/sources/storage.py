@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,29 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+# Scratch folders made inside the innermost `scratch_scope`.
+_made: ContextVar[list[str] | None] = ContextVar("scratch folders", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Gives back, at its end, the scratch folders that were made inside it.
+
+    What leaves the scope must have been written elsewhere: a frame that still reads a scratch table
+    made inside cannot be used any more.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            fs, jpath = _fs(spark, path)
+            fs.delete(jpath, True)
+            fs.cancelDeleteOnExit(jpath)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder for intermediate tables, removed when the application ends.
 
@@ -31,16 +57,19 @@ def scratch_dir(spark: SparkSession) -> str:
     fs, jpath = _fs(spark, path)
     fs.mkdirs(jpath)
     fs.deleteOnExit(jpath)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
-def materialise(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write a small table to the scratch folder and read it back.
+def materialise(df: DataFrame, name: str = "table", folder: str = "") -> DataFrame:
+    """Write a table to a scratch folder, a new one if none is given, and read it back.
 
     Cuts the lineage durably, and gives the optimizer a real size to choose joins by.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}"
+    path = f"{folder or scratch_dir(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
