@@ -95,13 +95,14 @@ class _Counter:
 
     def __init__(self):
         self.parts: list[tuple] = []
-        self.size = 0
+        self.size, self.limit = 0, 500_000
 
     def add(self, keys: np.ndarray, counts: np.ndarray, grams: np.ndarray) -> None:
         self.parts.append((keys, counts, grams))
         self.size += len(keys)
-        if self.size > 2_000_000:
+        if self.size > self.limit:
             self.merge()
+            self.limit = max(500_000, 2 * self.size)
 
     def merge(self) -> tuple:
         keys = np.concatenate([p[0] for p in self.parts])
@@ -145,7 +146,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = places[first]
                 grams = np.stack([points[at + i] for i in range(ORDER)], axis=1)
                 found.setdefault(name, _Counter()).add(unique, n, grams)
-            while sum(c.size for c in found.values()) > 4_000_000:
+            while sum(c.size for c in found.values()) > 1_500_000:
                 yield from emit(max(found, key=lambda name: found[name].size))
     for name in list(found):
         yield from emit(name)
