@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -15,6 +16,9 @@ from partload.sources import rows, storage
 
 log = logging.getLogger(__name__)
 
+# So many dates are named in a filter; runs of more dates are compared with the whole history.
+_DATES = 1000
+
 # Microseconds are kept; the default of JSON files is milliseconds.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -74,6 +78,20 @@ def jdbc_sink(spark: SparkSession, source, table: str) -> Sink:
     )
 
 
+def _unrecorded(runs: DataFrame, sink: Sink) -> DataFrame:
+    """The runs whose run_id the sink does not have; their dates are all it is asked for."""
+    if sink.read is None:
+        return runs
+    dates = [r[0] for r in runs.select("processing_date").distinct().limit(_DATES + 1).collect()]
+    known = sink.read()
+    if len(dates) <= _DATES:
+        listed = [d for d in dates if d is not None]
+        known = known.where(F.col("processing_date").isin(listed) | F.col("processing_date").isNull())
+    # Stored, because a table cannot be read while it is appended to.
+    fresh = runs.join(known.select("run_id").distinct(), "run_id", "left_anti").select(*runs.columns)
+    return storage.materialise(fresh.dropDuplicates(["run_id"]), "fresh")
+
+
 class AuditLog:
     """Fans rows out to every sink. A failing sink is logged and does not stop the others."""
 
@@ -81,21 +99,25 @@ class AuditLog:
         if not any(s.read for s in sinks):
             raise ValueError("an audit log needs at least one sink that answers lookups")
         self.sinks = tuple(sinks)
+        self._turn = threading.Lock()
 
     def record(self, runs: DataFrame) -> list[str]:
         """Write rows to all sinks; returns the names of those that failed.
 
-        Rows are stored once first, so that every sink gets the same run ids.
+        Rows are stored once first, so that every sink gets the same run ids. A sink that can be read
+        takes only runs it does not have, so recording again after a half-known failure leaves one
+        row for each run_id. Writers of one log take turns: appends to one folder must not overlap.
         """
         if len(self.sinks) > 1:
             runs = storage.materialise(runs, "audit")
         failed = []
-        for sink in self.sinks:
-            try:
-                sink.write(runs)
-            except Exception as error:  # noqa: BLE001
-                log.error("audit sink %s failed: %s", sink.name, error)
-                failed.append(sink.name)
+        with self._turn:
+            for sink in self.sinks:
+                try:
+                    sink.write(_unrecorded(runs, sink))
+                except Exception as error:  # noqa: BLE001
+                    log.error("audit sink %s failed: %s", sink.name, error)
+                    failed.append(sink.name)
         return failed
 
     def read(self) -> DataFrame:

@@ -208,7 +208,7 @@ def rows_per_unit_cap(spark, sf_dir):
     tables = order_tables(spark, sf_dir)
     job = orders_job(spark)
     frame = loading.load_frame(tables, jobs.resolve(job, tables), [MONTH], DATE)
-    capped = units.cap_rows(frame, [loading.ORDINAL, MONTH], ["o_orderkey"], 5)
+    capped = units.first_rows(frame, [loading.ORDINAL, MONTH], ["o_orderkey"], 5)
     load_table = F.when(F.col(loading.ORDINAL) == 0, "lt1").otherwise("lt2")
     return capped.select(load_table.alias("load_table"), MONTH, "o_orderkey", "o_totalprice")
 

@@ -32,6 +32,17 @@ def delimited_roundtrip(spark, sf_dir):
     )
 
 
+def split_quoted_read(spark, sf_dir):
+    """Hostile text in one file, whose fields hold line breaks, read back by one task for each 256 KiB."""
+    rows = _hostile(spark, sf_dir)
+    path = storage.scratch_dir(spark) + "/documents"
+    delimited.write_delimited(rows.coalesce(1), path)
+    back = delimited.split_read(spark, path, rows.schema, split_bytes=1 << 18)
+    return back.select(
+        "doc_id", F.length("text").alias("text_length"), F.md5("text").alias("text_md5"), "lang"
+    )
+
+
 def delimited_keep_empty(spark, sf_dir):
     """The same round trip telling NULL and '' apart."""
     rows = _hostile(spark, sf_dir)
@@ -123,6 +134,7 @@ def split_uri(spark, sf_dir):
 
 QUERIES = {
     "delimited_roundtrip": delimited_roundtrip,
+    "split_quoted_read": split_quoted_read,
     "delimited_keep_empty": delimited_keep_empty,
     "quote_fields": quote_fields,
     "empty_to_null": empty_to_null,
@@ -146,6 +158,10 @@ ORACLES = {
     "delimited_roundtrip": _HOSTILE + """
 SELECT doc_id, CAST(length(text) AS INTEGER) AS text_length, md5(text) AS text_md5,
        nullif(lang, '') AS lang
+FROM rows""",
+    "split_quoted_read": _HOSTILE + """
+SELECT doc_id, CAST(length(text) AS INTEGER) AS text_length, md5(text) AS text_md5,
+       nullif(lang, '') AS lang
 FROM rows""",
     "delimited_keep_empty": _HOSTILE + " SELECT lang, count(*) AS row_count FROM rows GROUP BY lang",
     "quote_fields": """

@@ -7,16 +7,20 @@ out) to keep reads parallel.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partload.functions.text import FIELD_DELIMITER, QUOTE, quote_line
+from partload.sources import storage
 from partload.spec import ErrorLimit
 
 CORRUPT = "_corrupt_record"
+# Ends no record: never the last character of one.
+_NO_BREAK = "\x00"
 
 _COMMON = {
     "sep": FIELD_DELIMITER,
@@ -114,6 +118,31 @@ def read_with_errors(
     return raw.select(*typed, corrupt.alias(CORRUPT))
 
 
+def split_read(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: T.StructType,
+    keep_empty: bool = False,
+    split_bytes: int | None = None,
+) -> DataFrame:
+    """Rows of quoted text with line breaks in fields, each file read by as many tasks as it has splits.
+
+    The same rows as `read_delimited` gives, in any order; a field that does not fit its type fails
+    the read. Empty lines between records are no rows, as in Spark's reader. Lines are written to
+    the scratch folder once.
+    """
+    from partload.operators import records
+
+    whole = records.whole_records(records.numbered_lines(spark, paths, split_bytes)).where(F.col(records.RECORD) != "")
+    options = {
+        **{k: v for k, v in read_options(keep_empty).items() if k not in ("encoding", "lineSep", "multiLine")},
+        # A record is one text here, and its line breaks are inside its fields.
+        "lineSep": _NO_BREAK, "mode": "FAILFAST",
+    }
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    return whole.select(F.from_csv(records.RECORD, ddl, options).alias("r")).select("r.*")
+
+
 def error_counts(read: DataFrame) -> DataFrame:
     """(total_rows, bad_rows) of a `read_with_errors` result, in one pass.
 
@@ -146,9 +175,19 @@ def good_rows(read: DataFrame) -> DataFrame:
 def gated_read(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, limit: ErrorLimit
 ) -> DataFrame:
-    """The good rows of delimited files, or an error if more rows are bad than the limit allows."""
-    read = read_with_errors(spark, paths, schema)
-    counts = gate(error_counts(read), limit).first()
-    if not counts.passed:
-        raise ValueError(f"{counts.bad_rows} of {counts.total_rows} rows are bad, above {limit}")
-    return good_rows(read)
+    """The good rows of delimited files, or an error if more rows are bad than the limit allows.
+
+    The files are read once: the pass that counts bad rows stores the good ones in the scratch folder.
+    """
+    seen = Observation(f"read-{uuid.uuid4().hex}")
+    bad = F.count_if(F.col(CORRUPT).isNotNull())
+    read = read_with_errors(spark, paths, schema).observe(
+        seen, F.count(F.lit(1)).alias("total_rows"), bad.alias("bad_rows")
+    )
+    folder = storage.scratch_dir(spark)
+    good = storage.materialise(good_rows(read), "good", folder)
+    bad_rows, total = seen.get["bad_rows"], seen.get["total_rows"]
+    if not limit.allows(bad_rows, total):
+        storage.delete_prefix(spark, folder)
+        raise ValueError(f"{bad_rows} of {total} rows are bad, above {limit}")
+    return good

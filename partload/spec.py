@@ -30,6 +30,9 @@ class ErrorLimit:
     record: int | None = 0
     percentage: float = 0.0
 
+    def allows(self, bad: int, total: int) -> bool:
+        return bad <= (self.record if self.record is not None else total * self.percentage)
+
 
 @dataclass(frozen=True)
 class RunSetting:
