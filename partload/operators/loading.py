@@ -145,3 +145,38 @@ def read_target(
 def ensure_dir(spark: SparkSession, location: str) -> None:
     fs, path = storage._fs(spark, location)
     fs.mkdirs(path)
+
+
+# Counts are pushed down by the newer file sources only.
+_PUSH_DOWN = {
+    "spark.sql.sources.useV1SourceList": "",
+    "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.sql.orc.aggregatePushdown": "true",
+}
+
+
+def counted_target(
+    spark: SparkSession, location: str, file_format: str, schema: T.StructType, by: Sequence[str],
+    where: str = "true",
+) -> DataFrame:
+    """(*by, row_count) of a target, planned in a session of its own that pushes counts into the scan.
+
+    Counts come from the footers of Parquet and ORC files if `by` and `where` name partition columns
+    only. Otherwise, and for delimited text, Spark plans a scan of the columns it needs.
+    """
+    own = spark.newSession()
+    for key, value in _PUSH_DOWN.items():
+        own.conf.set(key, value)
+    read = read_target(own, location, file_format, schema).where(where)
+    return read.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def footer_counts(
+    spark: SparkSession, location: str, file_format: str, schema: T.StructType, by: Sequence[str],
+    where: str = "true",
+) -> DataFrame:
+    """What `counted_target` gives, one row for each partition, counted now and stored."""
+    counted = counted_target(spark, location, file_format, schema, by, where)
+    path = f"{storage.scratch_dir(spark)}/counts"
+    counted.write.parquet(path)
+    return spark.read.schema(counted.schema).parquet(path)

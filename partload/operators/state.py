@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from partload.functions.keys import escape_value
 from partload.sources import rows, storage
 
 WRITTEN = "written"
+# Hidden from the reader of the whole log.
+_SNAPSHOTS, _COVERED = "_snapshots", "covered"
 
 STATE_SCHEMA = (
     "job_name string, processing_date string, seq bigint, unit_key string, status string, "
@@ -91,17 +94,66 @@ class StateTable:
     def exists(self, job_name: str, processing_date: str) -> bool:
         return storage.exists(self.spark, self._dir(job_name, processing_date))
 
+    def _snapshot(self, folder: str) -> tuple[int, set[str]]:
+        """Number of the newest snapshot and the event files it covers; number 0 for none."""
+        found = storage.list_dirs(self.spark, f"{folder}/{_SNAPSHOTS}")
+        done = [int(n) for n in found if n.isdigit()]
+        if not done:
+            return 0, set()
+        listed = storage.read_text(self.spark, f"{folder}/{_SNAPSHOTS}/{max(done)}/{_COVERED}")
+        return max(done), set(listed.split("\n"))
+
     def latest(self, job_name: str, processing_date: str) -> DataFrame:
-        """Last state per unit of one job and date; unreadable lines are skipped."""
-        path = self._dir(job_name, processing_date)
+        """Last state per unit of one job and date; unreadable lines are skipped.
+
+        Reads the newest snapshot and only those event files it does not cover.
+        """
+        folder = self._dir(job_name, processing_date)
+        number, covered = self._snapshot(folder)
+        tail = [n for n in storage.list_files(self.spark, folder) if n not in covered]
+        return self._states(folder, number, tail)
+
+    def compact(self, job_name: str, processing_date: str) -> int:
+        """Write the last states as a new snapshot; returns how many event files it covers.
+
+        Appends and reads may go on meanwhile: an event file the listing did not see stays part of
+        the tail, and a snapshot has its name only when it is complete. Files that the snapshot
+        before covered are deleted, and older snapshots; readers of that snapshot do not need them. One
+        compaction of a job and date at a time.
+        """
+        folder = self._dir(job_name, processing_date)
+        number, before = self._snapshot(folder)
+        listed = storage.list_files(self.spark, folder)
+        names = [n for n in listed if n not in before]
+        if not names:
+            return len(before)
+        draft = f"{folder}/{_SNAPSHOTS}/draft-{uuid.uuid4().hex}"
+        self._states(folder, number, names).write.parquet(f"{draft}/rows")
+        # Names of files that are gone already need no cover any more.
+        covered = sorted(listed)
+        storage.write_text(self.spark, f"{draft}/{_COVERED}", "\n".join(covered))
+        storage.move(self.spark, draft, f"{folder}/{_SNAPSHOTS}/{number + 1}")
+        for name in before:
+            storage.delete_prefix(self.spark, f"{folder}/{name}")
+        for n in range(number - 1, 0, -1):
+            if not storage.delete_prefix(self.spark, f"{folder}/{_SNAPSHOTS}/{n}"):
+                break
+        return len(covered)
+
+    def _states(self, folder: str, number: int, names: Sequence[str]) -> DataFrame:
+        """Last states of a snapshot, if there is one, and of event files after it."""
         schema = STATE_SCHEMA.split(", ", 2)[2]
-        if not self.exists(job_name, processing_date):
-            return rows.empty(self.spark, schema)
-        events = self.spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+        events = rows.empty(self.spark, schema)
+        if names:
+            reader = self.spark.read.schema(schema).option("mode", "DROPMALFORMED")
+            events = reader.json([f"{folder}/{n}" for n in names])
+        if number:
+            snapshot = self.spark.read.schema(schema).parquet(f"{folder}/{_SNAPSHOTS}/{number}/rows")
+            events = events.unionByName(snapshot)
         return latest_state(events, ("unit_key",)).select(*events.columns)
 
     def events(self) -> DataFrame:
-        """Every event of every job."""
+        """Every event of every job that no compaction has deleted as superseded."""
         reader = self.spark.read.schema(STATE_SCHEMA).option("mode", "DROPMALFORMED")
         try:
             return reader.json(self.path)

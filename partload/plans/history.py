@@ -69,6 +69,20 @@ def audit_append(spark, sf_dir):
     )
 
 
+def compacted_state(spark, sf_dir):
+    """State of units made of events by user, appended in four parts with two compactions between."""
+    events = table(spark, sf_dir, "events")
+    states = state.StateTable(spark, storage.scratch_dir(spark))
+    for part in range(4):
+        some = events.where(F.pmod("event_id", F.lit(4)) == part).groupBy(
+            F.col("user_id").cast("string").alias("unit_key")
+        ).agg(F.count(F.lit(1)).alias("row_count"))
+        states.append("events", "2024-01-31", some, f"part{part}")
+        if part in (0, 2):
+            states.compact("events", "2024-01-31")
+    return states.latest("events", "2024-01-31").drop("seq")
+
+
 def audit_retry(spark, sf_dir):
     """Run rows recorded in part, then all of them twice, as after failures half known: rows and
     distinct runs for each date and status."""
@@ -166,6 +180,7 @@ def unit_state_lines(spark, sf_dir):
 QUERIES = {
     "audit_append": audit_append,
     "audit_retry": audit_retry,
+    "compacted_state": compacted_state,
     "audit_history": audit_history,
     "audit_jsonl_lookup": audit_jsonl_lookup,
     "already_succeeded": already_succeeded,
@@ -200,6 +215,11 @@ SELECT * REPLACE (strftime(start_time, '%Y-%m-%d %H:%M:%S.%f') AS start_time,
                   strftime(end_time, '%Y-%m-%d %H:%M:%S.%f') AS end_time),
        true AS has_run_id, epoch_us(end_time) - epoch_us(start_time) AS duration_us
 FROM runs""",
+    "compacted_state": """
+SELECT CAST(user_id AS VARCHAR) AS unit_key, 'part' || max(event_id % 4) AS status,
+       max_by(n, event_id % 4) AS records_read, 0::BIGINT AS records_failed
+FROM (SELECT user_id, event_id, count(*) OVER (PARTITION BY user_id, event_id % 4) AS n FROM events)
+GROUP BY user_id""",
     "audit_retry": _RUNS + """
 SELECT processing_date, status, count(*) AS row_count, count(*) AS run_count FROM runs GROUP BY ALL""",
     "audit_history": _RUNS + """

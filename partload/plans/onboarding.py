@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from partload.functions import text
 from partload.operators import onboarding
 from partload.plans.inputs import table
+from partload.sources import rows
 
 
 def _config(spark, sf_dir):
@@ -66,7 +67,41 @@ def parse_partition_spec(spark, sf_dir):
     )
 
 
+def draft_jobs(spark, sf_dir):
+    """One job draft over orders for each nation's configuration: what was read from it, and how the
+    column list it declares compares to the real one."""
+    orders = table(spark, sf_dir, "orders")
+    sources = {name: orders.schema for name in ("orders", "orders_a", "orders_b")}
+    real, found = orders.columns, []
+    declared = {0: real, 1: real[::-1], 2: real[:-1], 3: []}
+    for n in table(spark, sf_dir, "nation").orderBy("n_nationkey").collect():
+        config = {
+            "target_table": n.n_name,
+            "target_dir": f"/Lake/{n.n_name}",
+            "columns": ", ".join(declared[n.n_nationkey % 4]),
+            "partitions": "region = EU, o_orderpriority" if n.n_regionkey < 2 else None,
+            "retention": str(n.n_nationkey) if n.n_nationkey > 9 else None,
+        }
+        if n.n_regionkey == 3:
+            config |= {"load_owner": "stage", "load_tables": "orders_a;orders_b"}
+        else:
+            config |= {"source_owner": "core", "source_table": "orders"}
+        job, verdict = onboarding.draft_job(config, sources)
+        found.append((
+            job["table_name"], job["source"]["owner"], ",".join(job["source"]["load_tables"]),
+            len(job["source"]["columns"]), job["target"]["base_dir"],
+            ",".join(p["column"] for p in job["target"]["partitions"]), job["retention_days"], verdict,
+        ))
+    return rows.few_rows(
+        spark,
+        "table_name string, owner string, load_tables string, column_count bigint, base_dir string, "
+        "dynamic_columns string, retention_days int, verdict string",
+        found,
+    )
+
+
 QUERIES = {
+    "draft_jobs": draft_jobs,
     "risk_rows": risk_rows,
     "risk_ranking": risk_ranking,
     "risk_buckets": risk_buckets,
@@ -121,6 +156,15 @@ _RISK = _CONFIG + """, history AS (
 )"""
 
 ORACLES = {
+    "draft_jobs": """
+SELECT lower(n_name) AS table_name, CASE WHEN n_regionkey = 3 THEN 'stage' ELSE 'core' END AS owner,
+       CASE WHEN n_regionkey = 3 THEN 'orders_a,orders_b' ELSE 'orders' END AS load_tables,
+       (SELECT count(*) FROM (DESCRIBE orders)) AS column_count, '/lake/' || lower(n_name) AS base_dir,
+       CASE WHEN n_regionkey < 2 THEN 'o_orderpriority' ELSE '' END AS dynamic_columns,
+       CASE WHEN n_nationkey > 9 THEN n_nationkey::INTEGER END AS retention_days,
+       CASE n_nationkey % 4 WHEN 0 THEN 'same' WHEN 1 THEN 'other_order' WHEN 2 THEN 'different_set'
+            ELSE 'none' END AS verdict
+FROM nation""",
     "risk_rows": _RISK + " SELECT * FROM risk",
     "risk_ranking": _RISK + """
 SELECT target_table, mismatch_count, total_runs, last_date FROM risk WHERE bucket = 'at_risk'

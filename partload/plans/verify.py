@@ -183,6 +183,17 @@ def load_with_bad_rows(spark, sf_dir):
     return out
 
 
+def footer_recount(spark, sf_dir):
+    """The orders of one year counted by partition from the footers of the target's files."""
+    job, tables = orders_job(spark), order_tables(spark, sf_dir)
+    jobs.load(job, tables, DATE)
+    schema = loading.target_schema(jobs.resolve(job, tables), [MONTH])
+    where = f"processing_date = '{DATE}' AND {MONTH} LIKE '1996%'"
+    return loading.footer_counts(
+        spark, job.target.location, "parquet", schema, ["processing_date", MONTH], where
+    )
+
+
 def limit_keeps_old_rows(spark, sf_dir):
     """Orders loaded, then loaded again with changed keys and unfit prices of one status, which is above
     the error limit: what a target by month, a target of whole dates and one loaded in groups hold."""
@@ -350,6 +361,7 @@ QUERIES = {
     "resume_text_keys": resume_text_keys,
     "load_with_bad_rows": load_with_bad_rows,
     "limit_keeps_old_rows": limit_keeps_old_rows,
+    "footer_recount": footer_recount,
     "expire_registered": expire_registered,
 }
 
@@ -399,6 +411,9 @@ SELECT CASE l_linestatus WHEN 'O' THEN l_returnflag || '_x' ELSE l_returnflag EN
        count(*) AS row_count, 'success' AS status,
        (SELECT count(*) FROM lineitem) AS reported_count
 FROM lineitem GROUP BY ALL""",
+    "footer_recount": f"""
+SELECT '{DATE}' AS processing_date, {MONTH_TEXT_SQL} AS order_month, count(*) AS row_count
+FROM orders WHERE year(o_orderdate) = 1996 GROUP BY ALL""",
     "limit_keeps_old_rows": f"""
 SELECT t.target, 1::BIGINT AS failed_runs, o_orderkey, o_totalprice, {MONTH_TEXT_SQL} AS order_month
 FROM orders, (SELECT unnest(['by_month', 'whole_date', 'in_groups']) AS target) AS t""",

@@ -143,6 +143,15 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly under a path; hidden ones are left out."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(jpath) if s.isFile()]
+    return sorted(n for n in names if n[0] not in "._")
+
+
 def list_dated_partitions(
     spark: SparkSession, base: str, date_column: str = DATE_COLUMN
 ) -> DataFrame:

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from partload import JobSpec, PartitionColumn, SourceSpec, TargetSpec, jobs
-from partload.operators import records, units
+from partload.operators import loading, records, units
 from partload.operators.audit import AUDIT_SCHEMA, AuditLog, Sink, audit_rows, file_sink
+from partload.operators.state import StateTable
 from partload.sources import delimited, rows, storage
 
 DATE = "2024-01-31"
@@ -136,3 +137,69 @@ def test_scratch_is_given_back(spark):
             inner = storage.scratch_dir(spark)
         assert not storage.exists(spark, inner) and storage.exists(spark, inside)
     assert not storage.exists(spark, inside) and kept.count() == 5
+
+
+def test_compaction_loses_nothing(spark, tmp_path, monkeypatch):
+    states = StateTable(spark, str(tmp_path / "state"))
+
+    def add(*keys, status="written"):
+        frame = rows.few_rows(spark, "unit_key string, row_count bigint", [(k, len(k)) for k in keys])
+        states.append("j", DATE, frame, status)
+
+    def known():
+        return {r.unit_key: r.status for r in states.latest("j", DATE).collect()}
+
+    add("a", "b")
+    before = states.latest("j", DATE)
+    assert states.compact("j", DATE) > 0
+    add("b", "c", status="exported")
+    # A reader that was planned before the compaction, and one of the snapshot with a tail.
+    assert {r.unit_key for r in before.collect()} == {"a", "b"}
+    assert known() == {"a": "written", "b": "exported", "c": "exported"}
+
+    listed = storage.list_files
+
+    def appended_meanwhile(spark_, path):
+        names = listed(spark_, path)
+        monkeypatch.setattr(storage, "list_files", listed)
+        add("late")
+        return names
+
+    of_snapshot = states.latest("j", DATE)
+    monkeypatch.setattr(storage, "list_files", appended_meanwhile)
+    states.compact("j", DATE)
+    assert known() == {"a": "written", "b": "exported", "c": "exported", "late": "written"}
+    assert {r.unit_key for r in of_snapshot.collect()} == {"a", "b", "c"}
+    states.compact("j", DATE)
+    states.compact("j", DATE)
+    assert known() == {"a": "written", "b": "exported", "c": "exported", "late": "written"}
+    move = storage.move
+    add("d")
+    monkeypatch.setattr(storage, "move", lambda *_: (_ for _ in ()).throw(OSError("died")))
+    with pytest.raises(OSError):
+        states.compact("j", DATE)
+    monkeypatch.setattr(storage, "move", move)
+    assert known()["d"] == "written" and states.compact("j", DATE) > 0 and len(known()) == 5
+    states.clear("j", DATE)
+    assert not known()
+
+
+@pytest.mark.parametrize("file_format,by,where,pushed", [
+    ("parquet", ["day", "k"], "day = '1'", True),
+    ("orc", ["day", "k"], "true", True),
+    ("parquet", ["day"], "v > 3", False),
+    ("text", ["day"], "true", False),
+])
+def test_counts_from_footers(spark, tmp_path, file_format, by, where, pushed):
+    df = spark.range(500).select(
+        F.col("id").alias("v"), (F.col("id") % 3).cast("string").alias("day"), (F.col("id") % 2).cast("string").alias("k")
+    )
+    path = str(tmp_path / "t")
+    loading.write_dir(df, path, file_format, partition_by=["day", "k"])
+    counted = loading.counted_target(spark, path, file_format, df.schema, by, where)
+    plan = counted._jdf.queryExecution().toString()
+    assert ("PushedAggregation: [COUNT(*)]" in plan) == pushed
+    want = df.where(where).groupBy(*by).count()
+    got = loading.footer_counts(spark, path, file_format, df.schema, by, where)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
