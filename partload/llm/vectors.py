@@ -8,6 +8,8 @@ list that is not visited can cost a link; the codes lose none.
 
 Queries of a list meet its vectors block by block within tasks. A task returns numbers of links and
 a spanning forest of them, never the links, so a group of m near copies costs m rows for a block.
+A link between two lists is found once from each end that visits the other's list. A vector carries the
+lists that it visits, so a link that only one end finds is told, and counted for the other end too.
 Vectors that are equal component by component are one entry of the index.
 """
 
@@ -138,10 +140,13 @@ def _dealt(shared, params: VectorParams):
                 row, visited = np.nonzero(near >= near.max(axis=1, keepdims=True) - params.margin)
                 codes, error = index.encode(units - index.centres[own])
                 all_rows = np.concatenate([np.arange(len(units)), row])
+                visits = np.split(visited.astype(np.int32), np.searchsorted(row, np.arange(1, len(units))))
                 yield pa.record_batch(
                     {
                         "list": pa.array(np.concatenate([own, visited])),
                         "query": pa.array(np.arange(len(all_rows)) >= len(units)),
+                        "home": pa.array(own[all_rows]),
+                        "visits": pa.array([x.tobytes() for x in visits] + [None] * len(row), pa.binary()),
                         "rep": part.column("rep").take(pa.array(all_rows)),
                         "copies": part.column("copies").take(pa.array(all_rows)),
                         "raw": part.column("raw").take(pa.array(all_rows)),
@@ -167,6 +172,18 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
+def _returned(visits: list[bytes], homes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which vectors visit which of the lists `homes`: the place of each in the columns, and the table."""
+    lists, column = np.unique(homes, return_inverse=True)
+    table = np.zeros((len(visits), len(lists)), dtype=bool)
+    visited = np.frombuffer(b"".join(visits), dtype=np.int32)
+    row = np.repeat(np.arange(len(visits)), [len(x) // 4 for x in visits])
+    place = np.minimum(np.searchsorted(lists, visited), len(lists) - 1)
+    hit = lists[place] == visited
+    table[row[hit], place[hit]] = True
+    return column, table
+
+
 def _linked(shared, params: VectorParams):
     reach = np.sqrt(max(0.0, 2 - 2 * params.cosine)) + 1e-9
 
@@ -184,6 +201,8 @@ def _linked(shared, params: VectorParams):
             width = [np.array([len(x) for x in t.column("raw").to_pylist()]) for t in (base, asks)]
             error, copies = base.column("error").to_numpy(), base.column("copies").to_numpy()
             ids, own = base.column("rep").to_numpy(), asks.column("rep").to_numpy()
+            asking = asks.column("copies").to_numpy()
+            column, returns = _returned(base.column("visits").to_pylist(), asks.column("home").to_numpy())
             for low in range(0, len(wanted), 512):
                 part = slice(low, low + 512)
                 close = index.distances(wanted[part], centre, codes) - error <= reach
@@ -207,6 +226,8 @@ def _linked(shared, params: VectorParams):
                 out["b"].append(names[label[used]])
                 counts = np.zeros(len(names), dtype=np.int64)
                 counts[: len(asked)] = links
+                alone = ~returns[j, column[i]]
+                counts[len(asked) :] = np.bincount(j[alone], asking[i[alone]], len(ids)).astype(np.int64)
                 out["links"].append(counts[used])
         kinds = {"a": np.int64, "b": np.int64, "links": np.int64}
         return pa.table({k: np.concatenate(v) if v else np.zeros(0, kinds[k]) for k, v in out.items()})
@@ -249,7 +270,8 @@ def near_vectors(vectors: DataFrame, params: VectorParams = VectorParams()) -> D
     entries = storage.materialise(
         classes.mapInArrow(
             _dealt(shared, params),
-            "list long, query boolean, rep long, copies long, raw binary, code binary, error double",
+            "list long, query boolean, home long, visits binary, rep long, copies long, raw binary, code binary, "
+            "error double",
         ),
         "entries",
     )
