@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import struct
 import uuid
 import zlib
@@ -62,8 +63,8 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{page_id} {digest}')}>"
+def record_id(*name: object) -> str:
+    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, ' '.join(map(str, name)))}>"
 
 
 def record(kind: str, fields: list[tuple[str, str]], block: bytes) -> bytes:
@@ -73,13 +74,21 @@ def record(kind: str, fields: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def page_record(
-    page_id: int | None, url: str | None, html: str | None, refers_to: int | None, params: WarcParams
+    page_id: int | None,
+    url: str | None,
+    html: str | None,
+    refers_to: int | None,
+    params: WarcParams,
+    name: str | None = None,
+    named: bool = True,
 ) -> bytes:
+    """One record. Its id comes from page_id and payload, or from `name`, which a page that is repeated
+    or has no id needs to be unique. A revisit names the id it refers to only if that page is `named` so."""
     payload = (html or "").encode()
     digest = digest_of(payload)
     target = quote(url, safe="%/:=&?~#+!$,;'@()*[]") if url else f"urn:page:{page_id}"
     fields = [
-        ("WARC-Record-ID", record_id(page_id, digest)),
+        ("WARC-Record-ID", record_id(name) if name else record_id(page_id, digest)),
         ("WARC-Date", params.date),
         ("WARC-Target-URI", target),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
@@ -93,11 +102,9 @@ def page_record(
     head = _HTTP + f"Content-Length: {len(payload)}\r\n\r\n".encode()
     if refers_to is None:
         return record("response", fields, head + payload)
-    fields += [
-        ("WARC-Profile", REVISIT_PROFILE),
-        ("WARC-Refers-To", record_id(refers_to, digest)),
-        ("X-Refers-To-Page", str(refers_to)),
-    ]
+    fields += [("WARC-Profile", REVISIT_PROFILE), ("X-Refers-To-Page", str(refers_to))]
+    if named:
+        fields.append(("WARC-Refers-To", record_id(refers_to, digest)))
     return record("revisit", fields, head)
 
 
@@ -116,7 +123,8 @@ def build_dictionary(records: list[bytes], params: WarcParams) -> zstandard.Zstd
         return zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
-def write_archive(records: list[bytes], out: io.RawIOBase, params: WarcParams) -> None:
+def write_archive(records: list[bytes], out: io.RawIOBase, params: WarcParams, name: str = "archive") -> None:
+    """The dictionary, a warcinfo record for the archive `name`, and the records."""
     dictionary = build_dictionary(records, params)
     frame = zstandard.ZstdCompressor(level=19).compress(dictionary.as_bytes())
     out.write(struct.pack("<II", DICTIONARY_FRAME, len(frame)) + frame)
@@ -124,7 +132,13 @@ def write_archive(records: list[bytes], out: io.RawIOBase, params: WarcParams) -
     compressor = zstandard.ZstdCompressor(
         level=params.level, dict_data=dictionary, write_content_size=True, write_checksum=True
     )
-    info = record("warcinfo", [("WARC-Date", params.date)], b"format: WARC File Format 1.1\r\n")
+    about = [
+        ("WARC-Record-ID", record_id("warcinfo", name)),
+        ("WARC-Date", params.date),
+        ("WARC-Filename", name.rsplit("/", 1)[-1]),
+        ("Content-Type", "application/warc-fields"),
+    ]
+    info = record("warcinfo", about, b"format: WARC File Format 1.1\r\n")
     for r in [info, *records]:
         out.write(compressor.compress(r))
 
@@ -159,8 +173,8 @@ def read_archive(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
 
 
 def _open(path: str):
-    system, place = fs.FileSystem.from_uri(path)
-    return system, place
+    """The file system and the place of a path; s3a, as Spark calls it, is s3."""
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
 
 
 def _written(folder: str, params: WarcParams):
@@ -174,13 +188,15 @@ def _written(folder: str, params: WarcParams):
             path = f"{stem}-{made:04d}.warc.zst"
             system, place = _open(path)
             with system.open_output_stream(place) as out:
-                write_archive(records, out, params)
+                write_archive(records, out, params, path)
             return pa.record_batch({"archive": [path], "records": pa.array([len(records)], pa.int64())})
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("page_id", "url", "html", "refers_to")]
+            columns = [batch.column(c) for c in ("page_id", "url", "html", "refers_to", "repeated", "named")]
             for values in zip(*columns, strict=True):
-                records.append(page_record(*[v.as_py() for v in values], params))
+                *page, repeated, named = [v.as_py() for v in values]
+                name = f"{stem} {made} {len(records)}" if repeated else None
+                records.append(page_record(*page, params, name, named))
                 size += len(records[-1])
                 if size >= params.archive_bytes:
                     yield close()
@@ -226,19 +242,33 @@ def write_pages(pages: DataFrame, folder: str, params: WarcParams = WarcParams()
     rows with a null page_id are responses. `folder` must be one all executors share. Other columns
     are not looked at.
 
+    Record ids are unique: rows that repeat an id and its html, and rows without an id, take theirs from
+    their place in the archives. A revisit of such rows has no WARC-Refers-To.
+
     The pairing is found on digests alone. The pages are then dealt by id, never by digest, so a page
     archived a million times is spread like any other rows.
     """
     html = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", "html", F.sha1(html).alias("digest"))
-    known = rows.where("page_id IS NOT NULL").where(F.octet_length(html) >= params.revisit_bytes)
-    known = known.select("page_id", "digest")
-    first = known.groupBy("digest").agg(F.min("page_id").alias("refers_to"))
-    again = known.join(first, "digest").where("page_id > refers_to").distinct()
-    marked = rows.join(storage.materialise(again, "revisits"), ["page_id", "digest"], "left")
-    written = marked.select("page_id", "url", "html", "refers_to").mapInArrow(
-        _written(folder, params), "archive string, records long"
+    sized = rows.select("page_id", "digest", F.octet_length(html).alias("size"))
+    known = sized.where("page_id IS NOT NULL").groupBy("page_id", "digest").agg(
+        F.count(F.lit(1)).alias("times"), F.max("size").alias("size")
+    )
+    known = storage.materialise(known, "known")
+    first = known.where(F.col("size") >= params.revisit_bytes).groupBy("digest").agg(
+        F.min(F.struct("page_id", "times")).alias("first"), F.count(F.lit(1)).alias("pages")
+    )
+    first = first.where("pages > 1").select("digest", "first")
+    marks = known.join(first, "digest", "left").select(
+        "page_id", "digest", F.expr("IF(page_id > first.page_id, first.page_id, NULL)").alias("refers_to"),
+        (F.col("times") > 1).alias("repeated"), F.expr("coalesce(first.times = 1, true)").alias("named"),
+    ).where("refers_to IS NOT NULL OR repeated")
+    marked = rows.join(storage.materialise(marks, "marks"), ["page_id", "digest"], "left").select(
+        "page_id", "url", "html", "refers_to",
+        (F.col("page_id").isNull() | F.coalesce("repeated", F.lit(False))).alias("repeated"),
+        F.coalesce("named", F.lit(True)).alias("named"),
     )
+    written = marked.mapInArrow(_written(folder, params), "archive string, records long")
     return storage.materialise(written, "archives")
 
 
