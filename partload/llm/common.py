@@ -246,5 +246,10 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def plain_names(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The columns in their places; all but those to keep get names that no operator uses itself."""
+    return df.toDF(*[c if c in keep else f"other_{i}" for i, c in enumerate(df.columns)])
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

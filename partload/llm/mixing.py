@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partload.llm.common import WORD, Words, dense_index, mix64, running_total, slices, spread, text_bytes
+from partload.llm.common import WORD, Words, dense_index, mix64, plain_names, running_total, slices, spread, text_bytes
 from partload.sources import storage
 
 _U = np.uint64
@@ -295,8 +295,10 @@ def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFra
 
     The text of a row is what the turn takes of it, the whole text where it takes all words; n_chars,
     if there is such a column, follows. Documents without words are not in a mix. Rows that agree
-    in id, source and text take their other columns from one of them.
+    in id, source and text take their other columns from one of them, whatever those are called.
     """
+    names = docs.columns
+    docs = plain_names(docs, ("doc_id", "source", "text", "n_chars"))
     plan = mix(docs, params)
     spans = spans_taken(plan).select(
         F.coalesce("doc_id", F.lit(_NO_ID)).alias("__doc"), F.col("fp").alias("__fp"), F.col("spans").alias("__spans")
@@ -308,4 +310,4 @@ def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFra
     out = taken.mapInArrow(_cut, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out
+    return out.toDF(*names)
