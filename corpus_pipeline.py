@@ -3,18 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from partload.llm import minhash, mixing, packing, quality, substring
-from partload.llm.common import fingerprint, read
+from partload.llm.common import fingerprint, plain_names, read
 from partload.llm.queries import tokenizer_file
 from partload.sources import storage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 _NO_ID = -(1 << 63)
+_DOCUMENT = ("doc_id", "source", "lang", "text", "n_chars")
+
+
+def _any_names(stage: Stage) -> Stage:
+    """The stage, with columns beside those of documents called what they may: they are carried under names
+    that no stage uses."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(spark, plain_names(docs, _DOCUMENT), sf_dir).toDF(*docs.columns)
+
+    return run
 
 
 def _keyed(df: DataFrame) -> DataFrame:
@@ -22,6 +35,7 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("__doc", F.coalesce("doc_id", F.lit(_NO_ID)))
 
 
+@_any_names
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is above the threshold of their language go."""
     judged = quality.judge(docs, read(spark, sf_dir, "labels"))
@@ -30,6 +44,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return keyed.join(bad, ["__doc", "__fp"], "left_anti").select(docs.columns)
 
 
+@_any_names
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One text of each group stays, the one with the smallest id; a null id only where no row has one.
 
@@ -47,6 +62,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return left.where("__n = 1").select(docs.columns)
 
 
+@_any_names
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages of 50 words or more that occur twice go; other texts stay as they are."""
     cut = substring.remove_repeats(docs).where("n_removed > 0")
@@ -57,6 +73,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return joined.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(docs.columns)
 
 
+@_any_names
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares; a document taken twice is two rows."""
     return mixing.mixed_documents(docs)
