@@ -132,6 +132,44 @@ def values_filter(df: DataFrame, scopes: Sequence[Mapping[str, str | None]]):
     return out
 
 
+# A plan of at most so many values of a column reaches the scans as a list of them, a longer one as a range.
+LISTED_VALUES = 1000
+
+
+def _range_filter(df: DataFrame, wanted: DataFrame, column: str):
+    """Rows whose value lies between the least and the greatest of a plan; None where texts have no such order."""
+    f = next(f for f in df.schema.fields if f.name.strip().upper() == column.strip().upper())
+    if _native_literal("", f) is None:
+        return None
+    value = F.col(column).try_cast(f.dataType)
+    low, high, empty = wanted.agg(
+        F.min(value), F.max(value), F.bool_or(F.col(column).isNull())
+    ).first()
+    inside = F.lit(False) if low is None else df[f"`{f.name}`"].between(F.lit(low), F.lit(high))
+    return inside | values_filter(df, [{column: None}]) if empty else inside
+
+
+def prune(
+    tables: Tables, wanted: DataFrame, dynamic: Sequence[str]
+) -> tuple[dict[str, DataFrame], bool]:
+    """Load tables with filters on the values of a unit plan that reach the scans, so that partitions,
+    files and row groups of other values are not read. True: no row of another value is left.
+
+    Only the tables of a plan of one column and few values are exact; others need `restrict` as well.
+    """
+    out, exact = dict(tables), len(dynamic) == 1
+    for column in dynamic:
+        found = wanted.select(column).distinct().limit(LISTED_VALUES + 1).collect()
+        listed = len(found) <= LISTED_VALUES
+        exact = exact and listed
+        scopes = [{column: r[0]} for r in found]
+        for name, df in out.items():
+            test = values_filter(df, scopes) if listed else _range_filter(df, wanted, column)
+            if test is not None:
+                out[name] = df.where(test)
+    return out, exact
+
+
 def _write(
     job: JobSpec,
     tables: Tables,
@@ -275,8 +313,11 @@ def _load(
 
     size = job.setting.values_per_batch
     if wanted is None or not dynamic or not size:
+        every = wanted is None or complete
+        if not every and dynamic:
+            tables, every = prune(tables, wanted, dynamic)
+
         def scope(frame):
-            every = wanted is None or complete
             return capped(frame if every else restrict(frame, wanted, dynamic))
 
         result = _write(

@@ -17,6 +17,7 @@ from partload.plans.inputs import (
     MONTH,
     MONTH_SQL,
     MONTH_TEXT_SQL,
+    month,
     order_tables,
     orders_job,
     table,
@@ -104,6 +105,23 @@ def idempotent_rerun(spark, sf_dir):
     )
 
 
+def pruned_resume(spark, sf_dir):
+    """Orders stored by month; all months but those of the latest year are finished, so the resumed load
+    reads the files of that year alone."""
+    folder = f"{storage.scratch_dir(spark)}/orders"
+    orders = table(spark, sf_dir, "orders").withColumn(MONTH, month())
+    orders.repartition(MONTH).write.partitionBy(MONTH).parquet(folder)
+    job = orders_job(spark)
+    job = replace(job, source=replace(job.source, load_tables=("lt1",)))
+    tables = {"lt1": spark.read.parquet(folder)}
+    planned = storage.materialise(jobs.plan(job, tables, DATE), "units")
+    last = planned.agg(F.max(F.substring(MONTH, 1, 4))).first()[0]
+    jobs.load(job, tables, DATE, planned.where(F.col(MONTH).startswith(last)))
+    return _read(spark, job, tables).groupBy("processing_date", MONTH).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum")
+    )
+
+
 def skewed_fanout_load(spark, sf_dir):
     """Lineitem by flag and status, few heavy values, each in exactly four files."""
     lineitem = table(spark, sf_dir, "lineitem")
@@ -273,6 +291,7 @@ QUERIES = {
     "multi_source_load": multi_source_load,
     "preserve_types_load": preserve_types_load,
     "idempotent_rerun": idempotent_rerun,
+    "pruned_resume": pruned_resume,
     "skewed_fanout_load": skewed_fanout_load,
     "text_load": text_load,
     "special_partition_values": special_partition_values,
@@ -312,6 +331,10 @@ FROM orders GROUP BY ALL""",
 SELECT '{DATE}' AS processing_date, {MONTH_TEXT_SQL} AS order_month, count(*) AS row_count,
        CAST(sum(o_orderkey) AS BIGINT) AS key_sum
 FROM orders GROUP BY ALL""",
+    "pruned_resume": f"""
+SELECT '{DATE}' AS processing_date, {MONTH_TEXT_SQL} AS order_month, count(*) AS row_count,
+       CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) GROUP BY ALL""",
     "multi_source_load": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus,
        CASE WHEN o_orderkey % 2 = 1 THEN CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE)
