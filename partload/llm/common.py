@@ -253,3 +253,8 @@ def plain_names(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def let(name: str, value: str, body: str) -> str:
+    """SQL of `body` with `name` standing for `value`, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"

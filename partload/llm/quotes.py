@@ -20,41 +20,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partload.llm.common import dense_index
+from partload.llm.common import dense_index, let
 from partload.sources import storage
 
 _NO_ID = -(1 << 63)
 
-_PREFIX = r"'^[ \\t]*((?:>[ \\t]*)+)'"
+_PREFIX = r"'^[ \\t]*(>[> \\t]*)'"
 _LINE = f"""named_struct(
     'level', length(regexp_replace(regexp_extract(l, {_PREFIX}, 1), '[^>]', '')),
     'raw', l,
     'words', trim(regexp_replace(lower(regexp_replace(l, {_PREFIX}, '')), '\\\\s+', ' ')))"""
 _LINES = f"transform(split(replace(text, '\\r', ''), '\\n'), l -> {_LINE})"
 
-# Joins consecutive lines of one level to passages; a blank line ends one.
-_PASSAGES = """aggregate(lines,
-    named_struct('done', cast(array() AS array<struct<level: int, lines: array<string>>>),
-                 'open', false),
-    (a, l) -> IF(l.words = '', named_struct('done', a.done, 'open', false),
-        IF(a.open AND element_at(a.done, -1).level = l.level,
-            named_struct('done', concat(slice(a.done, 1, size(a.done) - 1), array(named_struct(
-                'level', l.level, 'lines', concat(element_at(a.done, -1).lines, array(l.words))))),
-                'open', true),
-            named_struct('done', concat(a.done, array(named_struct(
-                'level', l.level, 'lines', array(l.words)))), 'open', true))),
-    a -> a.done)"""
+
+def _edges(end: str, near: str) -> str:
+    """Places j of lines that are not blank and whose neighbour `near` is not of their passage; `end` has none."""
+    same = f"all[{near}].words <> '' AND all[{near}].level = l.level"
+    return f"""filter(transform(all, (l, j) -> IF(l.words <> '' AND ({end} OR NOT ({same})), j, NULL)),
+        j -> j IS NOT NULL)"""
+
+
+# Passages are runs of consecutive lines of one level without a blank one. Where they start and where they end
+# are two lists of equal length. The lines are bound to a name before their neighbours are looked up, so that
+# they are split once, wherever Spark puts the expression.
+_PASSAGES = let("all", "lines", f"""zip_with({_edges('j = 0', 'j - 1')}, {_edges('j + 1 = size(all)', 'j + 1')},
+    (a, b) -> named_struct('level', all[a].level,
+        'lines', transform(slice(all, a + 1, b - a + 1), l -> l.words)))""")
 
 # Own lines, without a line that introduces the quotation below it.
-_OWN = """filter(lines, (l, i) -> l.level = 0 AND NOT (
-    rlike(l.words, '(wrote|writes|said):$') AND i + 1 < size(lines) AND lines[i + 1].level > 0))"""
+_OWN = let("all", "lines", """filter(all, (l, i) -> l.level = 0 AND NOT (
+    rlike(l.words, '(wrote|writes|said):$') AND i + 1 < size(all) AND all[i + 1].level > 0))""")
 
 
 def parsed(messages: DataFrame) -> DataFrame:
     """Adds lines, passages and clean: the own text without quotations."""
     out = messages.withColumn("lines", F.expr(_LINES)).withColumn("passages", F.expr(_PASSAGES))
-    clean = F.expr(f"array_join(transform({_OWN}, l -> l.raw), '\\n')")
-    return out.withColumn("clean", F.regexp_replace(clean, r"^\s*\n|\s+$", ""))
+    clean = F.regexp_replace(F.expr(f"array_join(transform({_OWN}, l -> l.raw), '\\n')"), r"^\s*\n", "")
+    return out.withColumn("clean", F.rtrim(clean, F.lit(" \t\n\x0b\f\r")))
 
 
 def _offers(rows: DataFrame) -> DataFrame:
@@ -77,10 +79,11 @@ def _offers(rows: DataFrame) -> DataFrame:
 def _quoted(rows: DataFrame) -> DataFrame:
     """(conv, place, passage, level, hash, weight): what each quoted passage may be found by."""
     one = rows.select("conv", "place", F.posexplode("passages").alias("passage", "p")).where("p.level > 0")
-    whole = F.struct(F.array_join("p.lines", " ").alias("words"), F.size("p.lines").alias("weight"))
-    lines = F.transform("p.lines", lambda w: F.struct(w.alias("words"), F.lit(1).alias("weight")))
-    votes = F.when(F.size("p.lines") > 1, F.concat(F.array(whole), lines)).otherwise(F.array(whole))
-    return one.select("conv", "place", "passage", "p.level", F.explode(votes).alias("v")).select(
+    one = one.select("conv", "place", "passage", F.col("p.level").alias("level"), F.col("p.lines").alias("lines"))
+    whole = F.struct(F.array_join("lines", " ").alias("words"), F.size("lines").alias("weight"))
+    lines = F.transform("lines", lambda w: F.struct(w.alias("words"), F.lit(1).alias("weight")))
+    votes = F.when(F.size("lines") > 1, F.concat(F.array(whole), lines)).otherwise(F.array(whole))
+    return one.select("conv", "place", "passage", "level", F.explode(votes).alias("v")).select(
         "conv", "place", "passage", "level", F.xxhash64("v.words").alias("hash"), "v.weight"
     )
 
