@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from partload.llm.common import dense_index, fingerprint
+from partload.llm.common import dense_index, fingerprint, let
 
 PIECE = 256
 _NO_ID = -(1 << 63)
@@ -40,28 +40,34 @@ def digests(text: str) -> str:
     return f"array_distinct(transform({pieces}, p -> xxhash64(p)))"
 
 
-def _let(name: str, value: str, body: str) -> str:
-    return f"transform(array({value}), {name} -> {body})[0]"
-
-
 def _placed(items: str, s: str) -> str:
     """Items (n, k) with their check and their cells in three tables of s cells."""
     return f"""transform({items}, d -> named_struct('n', d.n, 'k', d.k, 'c', xxhash64(d.k, 7),
-        'p0', cast(pmod(xxhash64(d.k, 1), {s}) AS int), 'p1', cast({s} + pmod(xxhash64(d.k, 2), {s}) AS int),
-        'p2', cast(2 * {s} + pmod(xxhash64(d.k, 3), {s}) AS int)))"""
+        'p0', pmod(xxhash64(d.k, 1), {s}), 'p1', {s} + pmod(xxhash64(d.k, 2), {s}),
+        'p2', 2 * {s} + pmod(xxhash64(d.k, 3), {s})))"""
+
 
+def _cells(items: str, s: str) -> str:
+    """The 3 * s cells (n, k, c) of items (n, k).
 
-def sketch(keys: str, s: str, sign: int = 1) -> str:
+    Every item has an entry for each of its cells, the cell in the upper 32 bits and the item's number, from 1,
+    in the lower. In sorted order a cell's entries follow its mark, the entry of item 0, so each is met once.
+    """
+    entries = [f"transform(placed, (d, i) -> shiftleft(d.p{t}, 32) + i + 1)" for t in range(3)]
+    marks = f"transform(sequence(0L, 3L * {s} - 1), j -> shiftleft(j, 32))"
+    at = "filter(transform(sorted, (e, i) -> IF(cast(e & 4294967295L AS int) = 0, i, NULL)), x -> x IS NOT NULL)"
+    item = "placed[cast(e & 4294967295L AS int) - 1]"
+    add = f"named_struct('n', a.n + {item}.n, 'k', a.k ^ {item}.k, 'c', a.c ^ {item}.c)"
+    run = "slice(sorted, m + 2, IF(j + 1 = size(marked), size(sorted), marked[j + 1]) - m - 1)"
+    folded = f"""transform(marked, (m, j) ->
+        aggregate({run}, named_struct('n', 0, 'k', 0L, 'c', 0L), (a, e) -> {add}))"""
+    body = let("sorted", f"sort_array(concat({marks}, {', '.join(entries)}))", let("marked", at, folded))
+    return let("placed", _placed(items, s), body)
+
+
+def sketch(keys: str, s: str) -> str:
     """The cells (n, k, c) of a set of digests."""
-    items = f"transform({keys}, k -> named_struct('n', {sign}, 'k', k))"
-    zero = "named_struct('n', 0, 'k', 0L, 'c', 0L)"
-    add = "named_struct('n', a.n + d.n, 'k', a.k ^ d.k, 'c', a.c ^ d.c)"
-    tables = [
-        f"""transform(sequence({i} * {s}, {i + 1} * {s} - 1), j ->
-            aggregate(filter(placed, d -> d.p{i} = j), {zero}, (a, d) -> {add}))"""
-        for i in range(3)
-    ]
-    return _let("placed", _placed(items, s), f"concat({', '.join(tables)})")
+    return _cells(f"transform({keys}, k -> named_struct('n', 1, 'k', k))", s)
 
 
 def subtract(a: str, b: str) -> str:
@@ -71,22 +77,18 @@ def subtract(a: str, b: str) -> str:
 
 def peel(cells: str, s: str, rounds: int) -> str:
     """The digests of a subtracted sketch, n = 1 for those of the first; null if peeling fails."""
-    pure = """array_distinct(transform(
-        filter(z.cells, c -> abs(c.n) = 1 AND c.c = xxhash64(c.k, 7)),
-        c -> named_struct('n', c.n, 'k', c.k)))"""
-    take = "named_struct('n', a.n - d.n, 'k', a.k ^ d.k, 'c', a.c ^ d.c)"
-    cleared = f"""transform(z.cells, (c, j) -> aggregate(
-        filter(gone, d -> d.p0 = j OR d.p1 = j OR d.p2 = j), c, (a, d) -> {take}))"""
-    step = _let(
+    # Distinct by key, not by struct, which Spark compares pairwise.
+    pure = ", ".join(
+        f"""transform(array_distinct(transform(filter(z.cells, c -> c.n = {n} AND c.c = xxhash64(c.k, 7)), c -> c.k)),
+            k -> named_struct('n', {n}, 'k', k))"""
+        for n in (1, -1)
+    )
+    step = let(
         "found",
-        pure,
+        f"concat({pure})",
         "IF(size(found) = 0, named_struct('cells', z.cells, 'found', z.found, 'over', true), "
-        + _let(
-            "gone",
-            _placed("found", s),
-            f"named_struct('cells', {cleared}, 'found', concat(z.found, found), 'over', false)",
-        )
-        + ")",
+        f"named_struct('cells', {subtract('z.cells', _cells('found', s))}, "
+        "'found', concat(z.found, found), 'over', false))",
     )
     start = f"""named_struct('cells', {cells},
         'found', cast(array() AS array<struct<n: int, k: bigint>>), 'over', false)"""
@@ -101,13 +103,13 @@ def difference(a: str, b: str, params: SketchParams) -> str:
     The first size holds at least the difference of the numbers of digests, which both sides know.
     """
     s = f"cast({params.cells} * shiftleft(1L, t + w) AS int)"
-    tried = _let(
+    tried = let(
         "s", s, peel(subtract(sketch(a, "s"), sketch(b, "s")), "s", params.rounds)
     )
     skip = f"cast(ceil(log2(greatest(1, abs(size({a}) - size({b})) / {2 * params.cells}))) AS int)"
     loop = f"""aggregate(sequence(0, {params.tries}), cast(NULL AS array<struct<n: int, k: bigint>>),
         (r, t) -> IF(r IS NOT NULL, r, {tried}))"""
-    return _let("w", skip, loop)
+    return let("w", skip, loop)
 
 
 def likeness(a: str, b: str, params: SketchParams) -> Column:
@@ -115,12 +117,12 @@ def likeness(a: str, b: str, params: SketchParams) -> Column:
     differ = f"size({difference(a, b, params)})"
     both = f"size({a}) + size({b})"
     body = f"IF({both} = 0, 1.0D, ({both} - d) / cast({both} + d AS double))"
-    return F.expr(_let("d", differ, body))
+    return F.expr(let("d", differ, body))
 
 
 def fingerprint_text(keys: str, params: SketchParams) -> Column:
     """The first sketch as text: count, keys and checks of every cell."""
-    cell = "concat(lpad(hex(pmod(c.n, 65536)), 4, '0'), lpad(hex(c.k), 16, '0'), lpad(hex(c.c), 16, '0'))"
+    cell = "concat(lpad(hex(c.n), 8, '0'), lpad(hex(c.k), 16, '0'), lpad(hex(c.c), 16, '0'))"
     return F.expr(
         f"base64(unhex(concat_ws('', transform({sketch(keys, str(params.cells))}, c -> {cell}))))"
     )
