@@ -137,7 +137,8 @@ def repeats(docs: DataFrame, params: RepeatParams) -> DataFrame:
     A span is a row of consecutive repeated windows: the first word times 2**32, plus their number.
     """
     keyed = _keyed(docs)
-    anchors = keyed.mapInArrow(_anchors(params), _ANCHOR_SCHEMA)
+    # Written, because both the count and the join below read them: texts are hashed once.
+    anchors = storage.materialise(keyed.mapInArrow(_anchors(params), _ANCHOR_SCHEMA), "anchors")
     seeds = anchors.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("_n"), F.min("run").alias("_low"), F.max("run").alias("_high")
     )
