@@ -33,10 +33,11 @@ def delimited_roundtrip(spark, sf_dir):
 
 
 def split_quoted_read(spark, sf_dir):
-    """Hostile text in one file, whose fields hold line breaks, read back by one task for each 256 KiB."""
+    """Hostile text in one file for each task that reads the documents, whose fields hold line breaks, read
+    back by one task for each 256 KiB of a file."""
     rows = _hostile(spark, sf_dir)
     path = storage.scratch_dir(spark) + "/documents"
-    delimited.write_delimited(rows.coalesce(1), path)
+    delimited.write_delimited(rows, path)
     back = delimited.split_read(spark, path, rows.schema, split_bytes=1 << 18)
     return back.select(
         "doc_id", F.length("text").alias("text_length"), F.md5("text").alias("text_md5"), "lang"
