@@ -9,6 +9,20 @@ from partload.plans import text
 from partload.sources import delimited, storage
 
 
+@pytest.mark.parametrize("n, files", [(0, 1), (3, 3), (10_001, 4)])
+def test_even_files_without_a_shuffle_of_rows(spark, monkeypatch, n, files):
+    monkeypatch.setattr(loading, "_STAGED_ROWS", 700)
+    df = spark.range(n).select("id", F.col("id").cast("string").alias("a b"))
+    path = storage.scratch_dir(spark) + "/even"
+    monkeypatch.setattr(type(df), "repartition", None)
+    loading.write_dir(df, path, "parquet", files=4)
+    back = spark.read.parquet(path)
+    counts = [r[1] for r in back.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert storage.count_files(spark, path) == files + 1
+    assert sum(counts) == n and max(counts, default=0) - min(counts, default=0) <= 1
+    assert back.agg(F.countDistinct("id")).first()[0] == n
+
+
 def test_split_quoted_read_writes_in_many_tasks(spark, sf_dir, tmp_path, monkeypatch):
     spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     written, write = [], delimited.write_delimited
