@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
+from threading import Lock
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +88,45 @@ def arrange(df: DataFrame, keys: Sequence[str], setting: RunSetting = RunSetting
     return df.hint("rebalance", *keys)
 
 
+# Files of partition values that a task keeps open at once.
+_OPEN_FILES = 16
+_MOST_OPEN = "spark.sql.maxConcurrentOutputFileWriters"
+_open_lock = Lock()
+_open_users: dict[str, list] = {}
+
+
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes inside it write rows as they come, to a file for each value.
+
+    Spark would sort all rows of a task by value first, and a rebalanced task is bounded by its
+    compressed bytes only. Beyond `_OPEN_FILES` values in a task Spark sorts the rows that are left.
+    A setting of the session's own stays. Jobs side by side share the setting; the last one resets it.
+    """
+    key = spark.conf.get("spark.app.id") + str(spark._jsparkSession.sessionUUID())
+    with _open_lock:
+        if key not in _open_users:
+            _open_users[key] = [0, spark.conf.get(_MOST_OPEN)]
+            if _open_users[key][1] == "0":
+                spark.conf.set(_MOST_OPEN, str(_OPEN_FILES))
+        _open_users[key][0] += 1
+    try:
+        yield
+    finally:
+        with _open_lock:
+            _open_users[key][0] -= 1
+            if not _open_users[key][0]:
+                spark.conf.set(_MOST_OPEN, _open_users.pop(key)[1])
+
+
+def _save(df: DataFrame, writer: DataFrameWriter, path: str, file_format: str) -> None:
+    with _open_files(df.sparkSession):
+        if file_format == "text":
+            writer.options(**delimited.write_options()).csv(path)
+        else:
+            writer.format(file_format).save(path)
+
+
 def write_target(
     df: DataFrame,
     location: str,
@@ -97,11 +138,7 @@ def write_target(
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records > 0:
         writer = writer.option("maxRecordsPerFile", max_records)
-    writer = writer.partitionBy(*partition_columns)
-    if file_format == "text":
-        writer.options(**delimited.write_options()).csv(location)
-    else:
-        writer.format(file_format).save(location)
+    _save(df, writer.partitionBy(*partition_columns), location, file_format)
 
 
 # Rows of a staged file; the two shares that meet in one both read it.
@@ -155,10 +192,7 @@ def write_dir(
         writer = writer.option("maxRecordsPerFile", max_records)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if file_format == "text":
-        writer.options(**delimited.write_options()).csv(path)
-    else:
-        writer.format(file_format).save(path)
+    _save(df, writer, path, file_format)
 
 
 def stage_target(

@@ -36,3 +36,22 @@ def test_split_quoted_read_writes_in_many_tasks(spark, sf_dir, tmp_path, monkeyp
     assert written == [3]
     want = text.split_quoted_read(spark, sf_dir)
     assert back.exceptAll(want).isEmpty() and want.exceptAll(back).isEmpty()
+
+
+def test_partitioned_write_keeps_files_open_and_gives_the_setting_back(spark, monkeypatch):
+    df = spark.range(0, 40_000, 1, 2).select("id", (F.col("id") % 23).alias("k"))
+    path = storage.scratch_dir(spark) + "/by_k"
+    name, during, save = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.save
+    before = spark.conf.get(name)
+
+    def watched(self, *given, **options):
+        during.append(spark.conf.get(name))
+        save(self, *given, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "save", watched)
+    loading.write_dir(df, path, "parquet", partition_by=["k"])
+    assert int(during[0]) > 1 and spark.conf.get(name) == before
+    # More values than files that stay open.
+    back = spark.read.parquet(path)
+    assert back.exceptAll(df).isEmpty() and back.count() == 40_000
+    assert storage.count_files(spark, path) == 2 * 23 + 1
