@@ -232,14 +232,20 @@ def components(edges: DataFrame) -> DataFrame:
             kept = kept.union(low.select("a", F.col("low").alias("b")))
         return kept.where("a <> b").distinct()
 
-    current = storage.materialise(edges.select("a", "b").where("a <> b").distinct(), "links")
-    before = None
-    while True:
-        seen = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == before:
-            break
-        before = seen
-        current = storage.materialise(star(star(current, True), False), "links")
+    def settled(e: DataFrame) -> bool:
+        """Whether every node links with one smaller node only, which itself links with no smaller one:
+        steps then change nothing."""
+        ends = e.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.union(e.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return sums.where("up > 1 OR up + down > 1").isEmpty()
+
+    current = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = storage.materialise(current.distinct(), "links")
+    while not settled(current):
+        # Each step is stored: both of its joins then read a table, and the driver plans few nodes at once.
+        current = storage.materialise(star(current, True), "links")
+        current = storage.materialise(star(current, False), "links")
     roots = current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return roots.union(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -190,7 +190,8 @@ def probabilities(grams: DataFrame, counted: DataFrame) -> DataFrame:
     counts = {ORDER: known}
     for k in range(ORDER - 1, 0, -1):
         tail = F.expr("right(gram, length(gram) - 1)").alias("gram")
-        wanted[k] = wanted[k + 1].select("model", tail).distinct()
+        # Written, or each order would deal out the longer n-grams anew.
+        wanted[k] = storage.materialise(wanted[k + 1].select("model", tail).distinct(), f"wanted{k}")
         # How many different characters stand before the shorter n-gram.
         counts[k] = counts[k + 1].groupBy("model", tail).agg(F.count(F.lit(1)).alias("n"))
         counts[k] = storage.materialise(counts[k], f"counts{k}")
